@@ -37,6 +37,7 @@ def exact_quantiles(
         F.max("value").alias("most"),
         F.count("value").alias("n"),
     )
+    few = F.col("n") < 10 * accuracy
     # One bracket per (variable, probability): at most a few dozen rows, whatever the data size.
     targets = sketch.select(
         "variable",
@@ -47,11 +48,10 @@ def exact_quantiles(
                     F.struct(
                         F.lit(name).alias("quantile"),
                         (F.lit(p) * (F.col("n") - 1)).alias("position"),
-                        # The sketch's rank error may reach past an end of tiny inputs.
-                        (F.col("least") if p <= slack else F.col("edges")[2 * i]).alias("low"),
-                        (F.col("most") if p >= 1 - slack else F.col("edges")[2 * i + 1]).alias(
-                            "high"
-                        ),
+                        # Few rows need no bracket, and are too few for the slack to cover
+                        # the neighbours that interpolation needs.
+                        F.when(few, F.col("least")).otherwise(F.col("edges")[2 * i]).alias("low"),
+                        F.when(few, F.col("most")).otherwise(F.col("edges")[2 * i + 1]).alias("high"),
                     )
                     for i, (name, p) in enumerate(probabilities.items())
                 ]

@@ -58,8 +58,8 @@ def payloads(spark: SparkSession, sf_dir: str, planted: bool = False, shift: flo
     )
     located = units.join(folded, ["location_id", "start_date"], "left")
     daily = F.struct(
-        _field("time", lambda d: d["date"].cast("string"), "string"),
-        *[_field(m.variable, lambda d, m=m: d[m.name], "double") for m in MEASURES],
+        _field("time", "date", "string"),
+        *[_field(m.variable, m.name, "double") for m in MEASURES],
     )
     timezone = F.col("timezone")
     if planted:
@@ -79,15 +79,15 @@ def payloads(spark: SparkSession, sf_dir: str, planted: bool = False, shift: flo
             "batch_number",
             "start_date",
             "end_date",
-            F.transform("entries", lambda e: e["location_id"]).alias("location_ids"),
-            F.transform("entries", lambda e: e["location"]).alias("locations"),
+            F.col("entries.location_id").alias("location_ids"),
+            F.col("entries.location").alias("locations"),
         )
     )
 
 
-def _field(name: str, value, kind: str) -> Column:
-    found = F.coalesce(F.transform("days", value), F.array().cast(f"array<{kind}>"))
-    return found.alias(name)
+def _field(variable: str, source: str, kind: str) -> Column:
+    kept = F.col(f"days.{source}").cast(f"array<{kind}>")
+    return F.coalesce(kept, F.array().cast(f"array<{kind}>")).alias(variable)
 
 
 def _plant(daily: Column, timezone: Column) -> tuple[Column, Column]:

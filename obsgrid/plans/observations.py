@@ -594,24 +594,24 @@ def distinct_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- scalar functions ------------------------------------------------------------------
 
-# The candidates of half-up rounding are whole thousandths, so both engines agree on ties.
+# Half-up is checked on exact decimals, where both engines agree on ties.
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate::DATE AS ship_date,
-  CAST(ROUND(CAST(FLOOR(l_extendedprice * 100.0::DOUBLE + 0.5::DOUBLE) AS DECIMAL(18, 0)) / 1000, 2) AS DOUBLE)
+  CAST(ROUND(CAST(FLOOR(l_extendedprice * 100.0::DOUBLE + 0.5::DOUBLE) AS DECIMAL(15, 0)) * 0.001, 2) AS DOUBLE)
     AS half_up,
   CAST(FLOOR(l_quantity / 2) + CASE WHEN l_quantity % 2 = 1 AND FLOOR(l_quantity / 2) % 2 = 1
     THEN 1 ELSE 0 END AS DOUBLE) AS half_even
 FROM lineitem""")
 def rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half-up on exact decimals, half-even on halves."""
-    cents = F.floor(F.col("l_extendedprice") * 100.0 + 0.5).cast("decimal(18,0)")
+    cents = F.floor(F.col("l_extendedprice") * 100.0 + 0.5).cast("decimal(15,0)")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_quantity",
         F.col("l_shipdate").cast("date").alias("ship_date"),
-        F.round(cents / F.lit(1000).cast("decimal(4,0)"), 2).cast("double").alias("half_up"),
+        F.round(cents * F.lit("0.001").cast("decimal(4,3)"), 2).cast("double").alias("half_up"),
         F.bround(F.col("l_quantity") / 2).alias("half_even"),
     )
 
