@@ -166,12 +166,11 @@ def extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {FEATURES_SQL} " + " UNION ALL ".join(
     f"SELECT location_id, city, '{c}' AS variable, '{t[0]}' AS display_name, "
-    f"CASE WHEN {c} IS NULL THEN 'N/A' ELSE PRINTF('%.3f', ROUND({c}, 6)) END AS value, "
+    f"CASE WHEN {c} IS NULL THEN 'N/A' ELSE PRINTF('%.3f', {c}) END AS value, "
     f"'{t[1]}' AS unit, '{t[2]}' AS meaning FROM features"
     for c, t in labels.FEATURE_TEXTS.items()))
 def feature_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = round_columns(climate(spark, sf_dir), *FEATURES)
-    return serving.feature_long(df, ["location_id", "city"])
+    return serving.feature_long(climate(spark, sf_dir), ["location_id", "city"])
 
 
 # ---- serving ---------------------------------------------------------------------------
