@@ -19,12 +19,14 @@ def exact_quantiles(
     probabilities: Mapping[str, float],
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Linear-interpolated quantiles of whole columns: one row per variable.
+    """Linear-interpolated quantiles of whole columns, with count, mean, sample deviation
+    and extremes: one row per variable.
 
     ``percentile`` would keep every distinct value of a column in one task. Here a bounded
     sketch first brackets each wanted rank, then only the values inside a bracket are
     counted exactly, each distinct value once, however often it occurs. Counts below the
-    bracket come from the same pass, so the picked order statistics are exact.
+    bracket come from the same pass, so the picked order statistics are exact. The moments
+    come with the sketch, which leaves two passes over the input.
     """
     long = to_long(df, [], columns).where(F.col("value").isNotNull())
     slack = 4.0 / accuracy
@@ -36,6 +38,8 @@ def exact_quantiles(
         F.min("value").alias("least"),
         F.max("value").alias("most"),
         F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
     )
     few = F.col("n") < 10 * accuracy
     # One bracket per (variable, probability): at most a few dozen rows, whatever the data size.
@@ -99,9 +103,18 @@ def exact_quantiles(
             .alias("value"),
         )
     )
-    return picked.groupBy("variable").agg(
+    quantiles = picked.groupBy("variable").agg(
         *[
             F.max(F.when(F.col("quantile") == name, F.col("value"))).alias(name)
             for name in probabilities
         ]
     )
+    moments = sketch.select(
+        "variable",
+        F.col("n").alias("count"),
+        "mean",
+        "std",
+        F.col("least").alias("minimum"),
+        F.col("most").alias("maximum"),
+    )
+    return moments.join(F.broadcast(quantiles), "variable")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,30 +58,13 @@ def date_bounds(daily: DataFrame) -> DataFrame:
     return daily.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
-def _moments(columns: Sequence[str], std_name: str = "std") -> list[Column]:
-    return [
-        F.struct(
-            F.lit(c).alias("variable"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias(std_name),
-            F.min(c).alias("minimum"),
-            F.max(c).alias("maximum"),
-        )
-        for c in columns
-    ]
-
-
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes, quartiles and range, one row per column.
 
-    One pass computes every moment as a wide aggregate; the exact quartiles come from
-    ``exact_quantiles``, whose memory stays bounded on whole-table input.
+    All columns share two passes over the table; memory stays bounded on any input.
     """
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    moments = numeric.agg(F.array(*_moments(columns)).alias("rows")).select(F.inline("rows"))
-    quartiles = exact_quantiles(numeric, columns, QUARTILES)
-    return moments.join(F.broadcast(quartiles), "variable", "left").select(
+    stats = exact_quantiles(df, columns, QUARTILES)
+    return stats.select(
         "variable",
         "count",
         "mean",
@@ -257,21 +239,25 @@ def feature_skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
-    """Pearson correlation of every column pair, from one aggregate over the table."""
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("variable_1"),
-                F.lit(b).alias("variable_2"),
-                F.corr(a, b).alias("correlation"),
-            )
-            for a, b in combinations(columns, 2)
-        ]
-    )
+    """Pearson correlation of every pair of columns.
+
+    A row unfolds into its column pairs, which are combined per task straight away: one
+    correlation per pair is all that is shuffled, and the plan stays small for many columns.
+    """
+    last = len(columns) - 1
+    names = F.array(*[F.lit(c) for c in columns])
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    firsts = values.select("v", F.explode(F.sequence(F.lit(0), F.lit(last - 1))).alias("i"))
     pairs = (
-        df.agg(rows.alias("rows"))
-        .select(F.inline("rows"))
-        .withColumn("abs_correlation", F.abs("correlation"))
+        firsts.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(last))).alias("j"))
+        .groupBy("i", "j")
+        .agg(F.corr(F.get("v", F.col("i")), F.get("v", F.col("j"))).alias("correlation"))
+        .select(
+            F.get(names, F.col("i")).alias("variable_1"),
+            F.get(names, F.col("j")).alias("variable_2"),
+            "correlation",
+            F.abs("correlation").alias("abs_correlation"),
+        )
     )
     if top is None:
         return pairs

@@ -32,10 +32,10 @@ FEATURES = (
 )
 
 
-def _by_month(aggregate, column: str) -> Column:
+def _by_month(aggregate: str, column: str) -> Column:
     """Twelve conditional aggregates as an array; months without data are NULL."""
-    month = F.month("date")
-    return F.array(*[aggregate(F.when(month == m, F.col(column))) for m in MONTHS])
+    months = [f"{aggregate}(CASE WHEN month(date) = {m} THEN {column} END)" for m in MONTHS]
+    return F.expr(f"array({', '.join(months)})")
 
 
 def _spread(values: Column) -> Column:
@@ -62,13 +62,13 @@ def climate_features(
         F.stddev_samp("temperature_mean").alias("temperature_std"),
         F.avg(F.col("temperature_max") - F.col("temperature_min")).alias("mean_diurnal_range"),
         F.percentile("temperature_mean", F.array(F.lit(0.1), F.lit(0.9))).alias("_q"),
-        _by_month(F.avg, "temperature_mean").alias("_month_temperature"),
+        _by_month("avg", "temperature_mean").alias("_month_temperature"),
         F.sum(rain).alias("_rain"),
         divisor.alias("_years"),
         F.stddev_samp(rain).alias("precipitation_std"),
         F.avg(F.when(rain > wet_day, 1.0).otherwise(0.0)).alias("wet_day_frequency"),
         F.max(rain).alias("maximum_daily_precipitation"),
-        _by_month(F.sum, "precipitation_sum").alias("_month_rain"),
+        _by_month("sum", "precipitation_sum").alias("_month_rain"),
         F.avg("relative_humidity_mean").alias("mean_humidity"),
         F.stddev_samp("relative_humidity_mean").alias("humidity_std"),
         F.avg("wind_speed_mean").alias("mean_wind"),

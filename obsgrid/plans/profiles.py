@@ -14,7 +14,7 @@ from obsgrid.plans.registry import query, rounded
 from obsgrid.schema import IDENTITY, PROFILE_MEASURES, SERVING_MEASURES, SERVING_NAMES
 from obsgrid.session import scratch_path
 from obsgrid.sources.tables import write_report
-from obsgrid.sources.views import DAILY_SQL, catalogue, daily_obs, given_clusters, readings
+from obsgrid.sources.views import DAILY_SQL, catalogue, given_clusters, readings, with_identity
 
 WET_DAY = 30.0
 OTHER = "Supplier#000000002"
@@ -65,11 +65,14 @@ z AS (
 
 
 def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.climate_features(daily_obs(spark, sf_dir), wet_day=WET_DAY)
+    per = features.climate_features(readings(spark, sf_dir), ["location_id"], wet_day=WET_DAY)
+    return with_identity(per, spark, sf_dir)
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.city_profile(daily_obs(spark, sf_dir))
+    return with_identity(
+        features.city_profile(readings(spark, sf_dir), ["location_id"]), spark, sf_dir
+    )
 
 
 def serve(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,14 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from obsgrid.schema import DAILY_SCHEMA, MEASURE_NAMES
+from obsgrid.functions.joins import small_side
+from obsgrid.schema import DAILY_SCHEMA, IDENTITY, MEASURE_NAMES
 
 GRID = 65536.0
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _cents(name: str) -> Column:
@@ -94,12 +103,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily observation table.
-
-    The place columns come by an equi-join on the id. Its side is left to the planner, which
-    broadcasts it while it is under the size limit and shuffles both sides beyond that.
-    """
-    places = catalogue(spark, sf_dir).withColumnsRenamed(
+    """The daily observation table: readings with the columns of their place."""
+    places = places_side(spark, sf_dir).withColumnsRenamed(
         {"latitude": "source_latitude", "longitude": "source_longitude"}
     )
     return (
@@ -117,6 +122,19 @@ def daily_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def places_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as a join side; the supplier table bounds its rows."""
+    return small_side(catalogue(spark, sf_dir), table(spark, sf_dir, "supplier").count())
+
+
+def with_identity(per_location: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and codes for rows already folded to one per place: no name is ever shuffled
+    with the observations."""
+    places = places_side(spark, sf_dir).select(*IDENTITY)
+    rest = [c for c in per_location.columns if c not in IDENTITY]
+    return per_location.join(places, "location_id").select(*IDENTITY, *rest)
+
+
 def given_clusters(df: DataFrame) -> DataFrame:
     """A fixed assignment, so that everything computed from an assignment can be checked."""
     return df.withColumn("cluster_id", (F.col("location_id") % 4).cast("int"))
