@@ -17,6 +17,9 @@ from obsgrid.functions.columns import to_long
 from obsgrid.functions.labels import member_label
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
+MIN_PARTITIONS = 8
+ROWS_PER_PARTITION = 500_000
+
 # The tried settings.
 MAX_ITERATIONS = 100
 TOLERANCE = 1e-4
@@ -29,15 +32,19 @@ def stable_layout(profiles: DataFrame, partitions: int, key: str = "location_id"
     """Same rows in the same partitions and order, whatever the input's layout.
 
     K-Means starts from samples per partition, so its result would otherwise follow the
-    layout. ``partitions`` is part of the model's settings.
+    layout. The number of partitions follows from the row count alone.
     """
     return profiles.repartition(partitions, key).sortWithinPartitions(key)
 
 
 def vectors(
-    profiles: DataFrame, columns: Sequence[str] = PROFILE_MEASURES, partitions: int = 8
+    profiles: DataFrame,
+    columns: Sequence[str] = PROFILE_MEASURES,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Assembled and standardised (sample deviation) vectors in a stable layout."""
+    if partitions is None:
+        partitions = max(MIN_PARTITIONS, -(-profiles.count() // ROWS_PER_PARTITION))
     laid_out = stable_layout(profiles, partitions)
     assembled = VectorAssembler(
         inputCols=list(columns), outputCol="raw", handleInvalid="error"

@@ -120,13 +120,14 @@ def date_gaps(daily: DataFrame) -> DataFrame:
     """Runs of missing days per place within the span of the whole table.
 
     Each day looks at the next observed one, so nothing is expanded to a full calendar: the
-    result has one row per gap, and the only shuffle is by place. Gaps before a place's
-    first day and after its last are included.
+    result has one row per gap. Repeated days are folded before the window, which bounds a
+    place's group by the calendar. Gaps before a place's first day and after its last are
+    included.
     """
     bounds = daily.agg(F.min("date").alias("first"), F.max("date").alias("last"))
     span = one_row(bounds, "first", "last")
     order = Window.partitionBy("location_id").orderBy("date")
-    days = daily.select(*KEY).withColumn("_span", span)
+    days = daily.select(*KEY).distinct().withColumn("_span", span)
     following = days.withColumns(
         {
             "_next": F.lead("date").over(order),

@@ -184,14 +184,14 @@ def cluster_deviation(
 ) -> DataFrame:
     """Each place against the mean of its cluster, one row per variable.
 
-    Cluster means are aggregated first and joined back: there are as many as clusters, and
-    no cluster has to be gathered in one task.
+    Cluster means are aggregated first and joined back: there are as many as clusters, so
+    they are broadcast, and no cluster has to be gathered in one task.
     """
     means = places.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in columns])
     long_means = to_long(means, ["cluster_id"], columns, "variable", "cluster_average")
     return (
         to_long(places, list(ids), columns, "variable", "location_value")
-        .join(long_means, ["cluster_id", "variable"])
+        .join(F.broadcast(long_means), ["cluster_id", "variable"])
         .withColumn("difference", F.col("location_value") - F.col("cluster_average"))
         .select(*ids, "variable", "location_value", "cluster_average", "difference")
     )

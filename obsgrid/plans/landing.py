@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsgrid.functions.columns import one_row, work_id
+from obsgrid.functions.joins import small_side
 from obsgrid.operators.describe import date_bounds
 from obsgrid.schema import MEASURES
 from obsgrid.session import scratch_path
-from obsgrid.sources.views import DAILY_SQL, catalogue, daily_obs, readings
+from obsgrid.sources.views import DAILY_SQL, catalogue, readings, table
 from obsgrid.streaming.workplan import number_places, windows
 
 BATCH = 11
@@ -23,7 +24,9 @@ _written: dict[tuple[str, str, str], str] = {}
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return number_places(catalogue(spark, sf_dir), BATCH)
+    """The numbered catalogue as a join side; the supplier table bounds its rows."""
+    places = number_places(catalogue(spark, sf_dir), BATCH)
+    return small_side(places, table(spark, sf_dir, "supplier").count())
 
 
 def bounds(spark: SparkSession, sf_dir: str) -> Column:
@@ -152,8 +155,6 @@ def corrections(spark: SparkSession, sf_dir: str, shift: float) -> DataFrame:
     return _as_array(payloads(spark, sf_dir, shift=shift))
 
 
-__all__ = ["BATCH", "DAYS", "array_files", "corrections", "daily_obs", "envelope_files", "numbered", "payloads"]
-
 PLAN_SQL = f"""{DAILY_SQL},
 numbered AS (
   SELECT *, ROW_NUMBER() OVER (ORDER BY location_id) AS ordinal,

@@ -7,20 +7,27 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsgrid.functions.columns import count_if, window_days, work_id
+from obsgrid.functions.columns import count_if, one_row, window_days, work_id
 from obsgrid.functions.ordinals import batch_of, with_ordinal
 
 # Places per request and days per window.
 BATCH_SIZE = 20
 WINDOW_DAYS = 14
 
-ID_BUCKET = 4096
+ID_BUCKETS = 100_000
 
 
 def number_places(places: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
-    """Catalogue rows with ordinal and batch number, in id order."""
-    bucket = F.floor(F.col("location_id") / F.lit(ID_BUCKET))
-    numbered = with_ordinal(places, bucket, [F.col("location_id")])
+    """Catalogue rows with ordinal and batch number, in id order.
+
+    Ids are cut into at most ``ID_BUCKETS`` equal ranges between the smallest and largest.
+    """
+    key = F.col("location_id")
+    ends = places.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    width = F.floor((F.col("_ends.high") - F.col("_ends.low")) / F.lit(ID_BUCKETS)) + 1
+    bucket = F.floor((key - F.col("_ends.low")) / width)
+    ranged = places.withColumn("_ends", one_row(ends, "low", "high"))
+    numbered = with_ordinal(ranged, bucket, [key]).drop("_ends")
     return numbered.withColumn("batch_number", batch_of(F.col("ordinal"), batch_size))
 
 
