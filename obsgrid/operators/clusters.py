@@ -17,7 +17,6 @@ from obsgrid.functions.columns import to_long
 from obsgrid.functions.labels import member_label
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
-MIN_PARTITIONS = 8
 ROWS_PER_PARTITION = 500_000
 
 # The tried settings.
@@ -44,7 +43,7 @@ def vectors(
 ) -> DataFrame:
     """Assembled and standardised (sample deviation) vectors in a stable layout."""
     if partitions is None:
-        partitions = max(MIN_PARTITIONS, -(-profiles.count() // ROWS_PER_PARTITION))
+        partitions = max(1, -(-profiles.count() // ROWS_PER_PARTITION))
     laid_out = stable_layout(profiles, partitions)
     assembled = VectorAssembler(
         inputCols=list(columns), outputCol="raw", handleInvalid="error"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsgrid.functions import labels
-from obsgrid.operators import clusters, describe, features, ranking, serving, similarity
+from obsgrid.operators import clusters, describe, features, neighbours, ranking, serving, similarity
 from obsgrid.plans.observations import CITY, _stats_sql, round_columns
 from obsgrid.plans.registry import query, rounded
 from obsgrid.schema import IDENTITY, PROFILE_MEASURES, SERVING_MEASURES, SERVING_NAMES
@@ -315,6 +315,20 @@ def nearest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(similarity.nearest_to(standardised(spark, sf_dir), CITY), "distance")
 
 
+@query(f"""WITH {PROFILE_SQL}, ranked AS (
+  SELECT a.location_id, a.city, b.location_id AS neighbour_id, b.city AS neighbour,
+    SQRT({_squares('a', 'b')}) AS distance,
+    ROW_NUMBER() OVER (PARTITION BY a.location_id
+      ORDER BY SQRT({_squares('a', 'b')}), b.city, b.location_id) AS rank
+  FROM z a JOIN z b ON a.location_id <> b.location_id)
+SELECT location_id, city, CAST(rank AS INTEGER) AS rank, neighbour_id, neighbour,
+  ROUND(distance, 6) AS distance FROM ranked WHERE rank <= 5""")
+def nearest_k_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest profiles of every place."""
+    z = [f"{c}_z" for c in SERVING_MEASURES]
+    return round_columns(neighbours.nearest_all(standardised(spark, sf_dir), z), "distance")
+
+
 @query(f"WITH {PROFILE_SQL} " + " UNION ALL ".join(
     f"SELECT location_id, city, cluster_id, '{c}' AS variable, {c} AS location_value, "
     f"ROUND(AVG({c}) OVER (PARTITION BY cluster_id), 6) AS cluster_average, "
@@ -404,7 +418,7 @@ def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _frame(spark, sf_dir).persist()
+    frame = _frame(spark, sf_dir)
     return clusters.assign_clusters(frame, clusters.fit_kmeans(frame, clusters.FINAL_K, 42))
 
 
@@ -427,7 +441,7 @@ def kmeans_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile documents of the final clusters, written as JSON and read back."""
-    frame = _frame(spark, sf_dir).persist()
+    frame = _frame(spark, sf_dir)
     fit = clusters.best_fit(frame)
     documents = clusters.cluster_documents(fit.assign(frame), clusters.centroids(frame, fit))
     path = scratch_path(spark, "cluster-profiles")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsgrid.functions.columns import count_if, one_row, window_days, work_id
 from obsgrid.functions.ordinals import batch_of, with_ordinal
+from obsgrid.operators.ranking import keep_last
+from obsgrid.schema import MANIFEST_SCHEMA
 
 # Places per request and days per window.
 BATCH_SIZE = 20
@@ -62,6 +65,21 @@ def work_plan(
     ).withColumn("days", window_days(F.col("start_date"), F.col("end_date")))
 
 
+def record_units(results: DataFrame, path: str) -> None:
+    """Append outcomes (work_id, status, error) of finished units to the manifest."""
+    stamped = results.withColumn("finished_at", F.current_timestamp())
+    stamped.select(*MANIFEST_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest record of every unit; no manifest yet reads as an empty one."""
+    try:
+        records = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return keep_last(records, ["work_id"], ["finished_at", "status"])
+
+
 def pending_units(plan: DataFrame, manifest: DataFrame) -> DataFrame:
     """Planned units that have not succeeded yet."""
     done = manifest.where(F.col("status") == "success").select("work_id")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from obsgrid.operators import clusters, similarity
+from obsgrid.operators import clusters, neighbours, similarity
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
 
@@ -131,3 +131,30 @@ def test_zero_variance_is_named(spark):
     flat = serving(spark, 6).withColumn("humidity_percent", F.lit(1.0))
     with pytest.raises(Exception, match="zero variance: humidity_percent"):
         similarity.standardise(flat, SERVING_MEASURES).collect()
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 32, 4])
+def test_nearest_of_all_equals_brute_force(spark, cell_rows):
+    """A third of the places are copies, the rest are spread unevenly, some on one line."""
+    rng = random.Random(11)
+    points = [(1.0, 1.0, 1.0)] * 120
+    points += [(rng.gauss(0, 1), rng.gauss(0, 1), rng.gauss(0, 1)) for _ in range(150)]
+    points += [(rng.gauss(50, 0.01), rng.gauss(0, 20), 3.0) for _ in range(80)]
+    points += [(rng.uniform(-500, 500), 0.0, 0.0) for _ in range(10)]
+    rows = [(i, f"City {i:03d}", *p) for i, p in enumerate(points)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "location_id long, city string, a double, b double, c double")
+    got = neighbours.nearest_all(df, ["a", "b", "c"], n=4, cell_rows=cell_rows).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["location_id"], {})[r["rank"]] = (r["neighbour_id"], r["distance"])
+    x = np.array(points)
+    assert len(found) == len(points)
+    for i in range(len(points)):
+        total = np.zeros(len(points))
+        for d in range(3):
+            total += (x[i, d] - x[:, d]) * (x[i, d] - x[:, d])
+        distance = np.sqrt(total)
+        wanted = [j for j in np.lexsort((np.arange(len(points)), distance)) if j != i][:4]
+        assert [found[i][k + 1][0] for k in range(4)] == wanted
+        assert [found[i][k + 1][1] for k in range(4)] == [distance[j] for j in wanted]

@@ -113,6 +113,19 @@ def test_resume_decisions(spark):
     assert {r["work_id"] for r in workplan.pending_units(plan, manifest).collect()} == set("cdef")
 
 
+def test_manifest_keeps_the_latest_record(spark):
+    path = scratch_path(spark, "manifest")
+    assert workplan.read_manifest(spark, path).count() == 0
+    schema = "work_id string, status string, error string"
+    workplan.record_units(spark.createDataFrame([("a", "failed", "timeout"), ("b", "success", None)], schema), path)
+    workplan.record_units(spark.createDataFrame([("a", "success", None)], schema), path)
+    manifest = workplan.read_manifest(spark, path)
+    assert {(r["work_id"], r["status"], r["error"]) for r in manifest.collect()} == {
+        ("a", "success", None), ("b", "success", None)
+    }
+    assert tuple(workplan.manifest_summary(manifest).first()) == (2, 2, 0)
+
+
 def _location(days, rain):
     series = {m.variable: [1.0] * len(days) for m in MEASURES}
     series["precipitation_sum"] = [rain] * len(days)
