@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -12,12 +13,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from obsgrid.functions.columns import to_long
 from obsgrid.functions.labels import member_label
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
 ROWS_PER_PARTITION = 500_000
+PARALLEL_TRIALS = 4
 
 # The tried settings.
 MAX_ITERATIONS = 100
@@ -111,11 +114,19 @@ SCORE_SCHEMA = (
 )
 
 
+def _each(trial: Callable, settings: Sequence) -> list:
+    """Independent trials side by side: each is a chain of short jobs that leaves most of a
+    cluster idle. Results keep the order of the settings."""
+    with ThreadPool(min(PARALLEL_TRIALS, len(settings))) as pool:
+        return pool.map(inheritable_thread_target(trial), settings)
+
+
 def sweep(frame: DataFrame, trials: Sequence[tuple[int, int]]) -> DataFrame:
     """Scores of (k, seed) trials over one cached frame; only the score rows reach the driver."""
     frame = frame.persist()
     try:
-        rows = [_score(frame, fit_kmeans(frame, k, seed)) for k, seed in trials]
+        frame.count()
+        rows = _each(lambda t: _score(frame, fit_kmeans(frame, *t)), trials)
     finally:
         frame.unpersist()
     return frame.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
@@ -135,8 +146,9 @@ def best_fit(frame: DataFrame, k: int = FINAL_K, seeds: Sequence[int] = SEEDS) -
     """Best silhouette over the seeds; equal scores go to the seed tried first."""
     frame = frame.persist()
     try:
-        fits = [fit_kmeans(frame, k, seed) for seed in seeds]
-        scores = [silhouette(f.assign(frame)) for f in fits]
+        frame.count()
+        fits = _each(lambda seed: fit_kmeans(frame, k, seed), seeds)
+        scores = _each(lambda fit: silhouette(fit.assign(frame)), fits)
     finally:
         frame.unpersist()
     return fits[max(range(len(fits)), key=scores.__getitem__)]
