@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -114,11 +114,11 @@ SCORE_SCHEMA = (
 )
 
 
-def _each(trial: Callable, settings: Sequence) -> list:
+def _each(spark: SparkSession, trial: Callable, settings: Sequence) -> list:
     """Independent trials side by side: each is a chain of short jobs that leaves most of a
     cluster idle. Results keep the order of the settings."""
     with ThreadPool(min(PARALLEL_TRIALS, len(settings))) as pool:
-        return pool.map(inheritable_thread_target(trial), settings)
+        return pool.map(inheritable_thread_target(spark)(trial), settings)
 
 
 def sweep(frame: DataFrame, trials: Sequence[tuple[int, int]]) -> DataFrame:
@@ -126,7 +126,7 @@ def sweep(frame: DataFrame, trials: Sequence[tuple[int, int]]) -> DataFrame:
     frame = frame.persist()
     try:
         frame.count()
-        rows = _each(lambda t: _score(frame, fit_kmeans(frame, *t)), trials)
+        rows = _each(frame.sparkSession, lambda t: _score(frame, fit_kmeans(frame, *t)), trials)
     finally:
         frame.unpersist()
     return frame.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
@@ -147,8 +147,9 @@ def best_fit(frame: DataFrame, k: int = FINAL_K, seeds: Sequence[int] = SEEDS) -
     frame = frame.persist()
     try:
         frame.count()
-        fits = _each(lambda seed: fit_kmeans(frame, k, seed), seeds)
-        scores = _each(lambda fit: silhouette(fit.assign(frame)), fits)
+        spark = frame.sparkSession
+        fits = _each(spark, lambda seed: fit_kmeans(frame, k, seed), seeds)
+        scores = _each(spark, lambda fit: silhouette(fit.assign(frame)), fits)
     finally:
         frame.unpersist()
     return fits[max(range(len(fits)), key=scores.__getitem__)]
