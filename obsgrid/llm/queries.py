@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from obsgrid.llm import bpe, cuckoo, mixing, simhash, toxicity  # noqa: F401
+from obsgrid.llm import bpe, cuckoo, licenses, mixing, simhash, toxicity, warc  # noqa: F401
 from obsgrid.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
