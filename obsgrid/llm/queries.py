@@ -1,6 +1,16 @@
 """All queries of this subpackage."""
 
-from obsgrid.llm import bpe, cuckoo, licenses, mixing, simhash, toxicity, warc  # noqa: F401
+from obsgrid.llm import (  # noqa: F401
+    bpe,
+    cuckoo,
+    html_text,
+    langid,
+    licenses,
+    mixing,
+    simhash,
+    toxicity,
+    warc,
+)
 from obsgrid.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
