@@ -5,6 +5,7 @@ from obsgrid.llm import (  # noqa: F401
     cuckoo,
     html_text,
     langid,
+    lattice,
     licenses,
     mixing,
     simhash,
