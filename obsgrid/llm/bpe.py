@@ -33,21 +33,26 @@ from obsgrid.llm.common import table, text_or_empty
 from obsgrid.llm.registry import query
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Words that a worker encodes and decodes at a time, and whose encodings it keeps.
-BLOCK_WORDS = 1 << 19
-CACHED_WORDS = 1 << 20
+#: Words that a worker encodes and decodes at a time, those that one query merges, and those
+#: whose encodings it keeps.
+BLOCK_WORDS = 1 << 17
+MERGED_WORDS = 1 << 15
+CACHED_WORDS = 1 << 19
 #: A text up to so many characters is split in one go.
-SPLIT_CHARS = 1 << 22
+SPLIT_CHARS = 1 << 20
 #: Limit of DuckDB's own memory in a worker.
-MEMORY = "600MB"
+MEMORY = "300MB"
 
+# Positions count through all words, so one ordering serves every word of a round.
 MERGE_SQL = """
 WITH RECURSIVE tokens(word, pos, id, live) AS (
   SELECT word, pos, id, TRUE FROM symbols
   UNION ALL (
     WITH pairs AS (
-      SELECT word, pos, id, lead(id) OVER line AS next_id, lag(pos) OVER line AS before
-      FROM tokens WHERE live WINDOW line AS (PARTITION BY word ORDER BY pos)),
+      SELECT word, pos, id,
+        CASE WHEN lead(word) OVER line = word THEN lead(id) OVER line END AS next_id,
+        CASE WHEN lag(word) OVER line = word THEN lag(pos) OVER line END AS before
+      FROM tokens WHERE live WINDOW line AS (ORDER BY pos)),
     best AS (
       SELECT word, min((CAST(rank AS BIGINT) << 32) | pos) AS pick
       FROM pairs JOIN merges ON left_id = id AND right_id = next_id GROUP BY word)
@@ -56,7 +61,7 @@ WITH RECURSIVE tokens(word, pos, id, live) AS (
       pick IS NOT NULL
     FROM pairs p LEFT JOIN best USING (word)
     WHERE pick IS NULL OR before IS NULL OR before <> (pick & 4294967295)))
-SELECT word, id FROM tokens WHERE NOT live ORDER BY word, pos
+SELECT word, id FROM tokens WHERE NOT live ORDER BY pos
 """
 
 DECODE_SQL = """
@@ -108,11 +113,10 @@ class Codec:
         data = [w.encode("utf-8") for w in words]
         sizes = np.array([len(b) for b in data], np.int64)
         word = np.repeat(np.arange(len(data), dtype=np.int32), sizes)
-        pos = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self._table(
             "symbols",
             word=word,
-            pos=pos.astype(np.int64),
+            pos=np.arange(len(word)),
             id=self.of_byte[np.frombuffer(b"".join(data), np.uint8)],
         )
         found = self.db.sql(MERGE_SQL).to_arrow_table()
@@ -128,8 +132,9 @@ class Codec:
         if fresh and len(self.known) + len(fresh) > CACHED_WORDS:
             self.forget()
             fresh = set(words)
-        if fresh:
-            self._learn(sorted(fresh))
+        fresh = sorted(fresh)
+        for i in range(0, len(fresh), MERGED_WORDS):
+            self._learn(fresh[i : i + MERGED_WORDS])
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
         counts = self.starts[at + 1] - self.starts[at]
         moves = np.repeat(self.starts[at] - (np.cumsum(counts) - counts), counts)

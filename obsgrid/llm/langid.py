@@ -34,11 +34,11 @@ FOLDS, HELD_OUT = 4, 2
 ORDERS = (1, 2, 3, 4)
 BITS = 16
 EPOCHS = 6
-#: Words labelled at a time; bounds a task's memory.
-BLOCK_WORDS = 1 << 20
+#: Characters labelled at a time, but for a longer text; bounds a task's memory.
+BLOCK_CHARS = 1 << 21
 #: A longer text is labelled in pieces of so many words: what was learned before the cut is
 #: carried over it, what comes after it is not.
-PIECE_WORDS = 1 << 18
+PIECE_WORDS = 1 << 17
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -223,34 +223,34 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return fit([(lang_, words) for lang_, _, words in rows if words])
 
 
-def _pieces(texts: list[list[str]]) -> Iterator[list[int]]:
-    """Numbers of texts, longest first, in blocks of about BLOCK_WORDS words."""
+def _blocks(texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of texts, longest first, in blocks of about BLOCK_CHARS characters."""
     block, held = [], 0
-    for i in sorted((i for i, w in enumerate(texts) if w), key=lambda i: -len(texts[i])):
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
         block.append(i)
         held += len(texts[i])
-        if held >= BLOCK_WORDS:
+        if held >= BLOCK_CHARS:
             yield block
             block, held = [], 0
     if block:
         yield block
 
 
-def _probabilities(model: Field, texts: list[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
-    """(number of the text, probabilities of some of its words), in the words' order."""
-    for block in _pieces(texts):
-        longest = max(len(texts[i]) for i in block)
+def _probabilities(model: Field, texts: list[str]) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """(number of the text, some of its words, their probabilities), in the words' order."""
+    for block in _blocks(texts):
+        words = {i: w for i in block if (w := words_of(texts[i]))}
         message: dict[int, np.ndarray] = {}
-        for at in range(0, longest, PIECE_WORDS):
-            now = [i for i in block if len(texts[i]) > at]
-            parts = [texts[i][at : at + PIECE_WORDS] for i in now]
+        for at in range(0, max(map(len, words.values()), default=0), PIECE_WORDS):
+            now = [i for i, w in words.items() if len(w) > at]
+            parts = [words[i][at : at + PIECE_WORDS] for i in now]
             sizes = np.array([len(p) for p in parts])
             coded = pa.array([w for p in parts for w in p], pa.string()).dictionary_encode()
             scores = model.scores(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
             before = np.stack([message[i] for i in now]) if at else None
             probs, leaving, _ = model.marginals(scores, sizes, before)
             message = dict(zip(now, leaving))
-            yield from zip(now, np.split(probs, np.cumsum(sizes)[:-1]))
+            yield from zip(now, parts, np.split(probs, np.cumsum(sizes)[:-1]))
 
 
 def predict(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,17 +263,19 @@ def predict(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts = [words_of(t) if model.labels else [] for t in rows["_text"]]
-            sums = np.zeros((len(texts), max(1, len(model.labels))))
-            for i, probs in _probabilities(model, texts):
+            texts = rows["_text"].tolist() if model.labels else []
+            sums = np.zeros((len(rows), max(1, len(model.labels))))
+            counts = np.zeros(len(rows), np.int64)
+            for i, words, probs in _probabilities(model, texts):
                 sums[i] += probs.sum(axis=0)
+                counts[i] += len(words)
             best = sums.argmax(axis=1)
-            share = sums.max(axis=1) / np.maximum(1, [len(w) for w in texts])
+            share = sums.max(axis=1) / np.maximum(1, counts)
             yield pd.DataFrame(
                 {
                     "doc_id": rows["doc_id"],
                     "held_out": rows["held_out"],
-                    "lang_pred": [model.labels[b] if w else "und" for b, w in zip(best, texts)],
+                    "lang_pred": [model.labels[b] if n else "und" for b, n in zip(best, counts)],
                     "score": np.round(np.minimum(share, 1.0), 6),
                 }
             )
@@ -288,16 +290,18 @@ def predict(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "
 
 
 def label_words(docs: DataFrame, model: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, words, langs): every word of every row and its most probable language."""
+    """(doc_id, words, langs): every word of every row and its most probable language; none if
+    nothing was learned."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            texts = [words_of(t) for t in rows["_text"]]
-            langs: list[list[str]] = [[] for _ in texts]
+            found: list[list[str]] = [[] for _ in range(len(rows))]
+            langs: list[list[str]] = [[] for _ in range(len(rows))]
             if model.labels:
-                for i, probs in _probabilities(model, texts):
+                for i, words, probs in _probabilities(model, rows["_text"].tolist()):
+                    found[i] += words
                     langs[i] += [model.labels[b] for b in probs.argmax(axis=1)]
-            yield pd.DataFrame({"doc_id": rows["doc_id"], "words": texts, "langs": langs})
+            yield pd.DataFrame({"doc_id": rows["doc_id"], "words": found, "langs": langs})
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from obsgrid.llm.common import table, written
 from obsgrid.llm.components import components
@@ -134,7 +135,7 @@ def _cell(number: int, vector: str) -> Column:
     return own(F.col(vector))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     """In double precision; vectors of different lengths have none (-1)."""
     out = np.full(len(a), -1.0)
