@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 from llm_helpers import awkward, documents, nothing
@@ -11,7 +12,8 @@ PLAIN = "the river runs along the old road and nobody minds the quiet morning th
 
 
 def sentence(i, *more):
-    words = [PLAIN[(i * 7 + k * 3) % len(PLAIN)] + "abcdefgh"[(i + k) % 8] for k in range(12)]
+    rng = random.Random(i)
+    words = [rng.choice(PLAIN) + rng.choice("abcdefgh") for _ in range(12)]
     return " ".join([*words[:6], *more, *words[6:]])
 
 
