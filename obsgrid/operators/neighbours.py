@@ -67,13 +67,22 @@ def nearest_all(
 
     Places with identical profiles share one search: they are folded to one site, and of
     its members only the first n + 1 can ever be anybody's neighbours. A hot profile
-    therefore costs no more than a rare one, and nothing is left out.
+    therefore costs no more than a rare one, and nothing is left out. A missing value has no
+    distance to anything, so it fails.
     """
     spark = standardised.sparkSession
     axes = [f"x{i}" for i in range(len(columns))]
     places = standardised.select(
         "location_id", "city", *[F.col(c).cast("double").alias(a) for c, a in zip(columns, axes)]
     )
+    missing = F.greatest(*[F.isnull(a) | F.isnan(a) for a in axes])
+    places = places.where(
+        F.when(~missing, F.lit(True)).otherwise(
+            F.raise_error(
+                F.concat(F.lit("profile with a missing value: "), F.col("location_id").cast("string"))
+            ).cast("boolean")
+        )
+    )
     twins = Window.partitionBy(*axes).orderBy("city", "location_id")
     candidates = places.withColumn("twin", F.row_number().over(twins)).where(F.col("twin") <= n + 1)
     stored = scratch_path(spark, "neighbour-candidates")

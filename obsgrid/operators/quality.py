@@ -5,7 +5,7 @@ Reports share one shape: (dataset, rule, observed, expected, status).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -360,13 +360,31 @@ def envelope_violations(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def fast_hash(names: Sequence[str]) -> Column:
+    """Hash of a row. Hash functions skip NULLs, so the columns' NULL flags are hashed along:
+    a NULL that moves to another column changes the hash."""
+    return F.xxhash64(F.array(*[F.isnull(n) for n in names]), *names)
+
+
+def text_hash(names: Sequence[str]) -> Column:
+    """Hash that any engine with MD5 can repeat: the first 60 bits over the values as text,
+    each marked as present or NULL."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("~")) for n in names]
+    digits = F.substring(F.md5(F.concat_ws("|", *cells)), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
+
+
+def fingerprint(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    row_hash: Callable[[Sequence[str]], Column] = fast_hash,
+) -> DataFrame:
     """Order-free digest of a table's rows; equal tables give equal digests.
 
     Sum and exclusive-or of row hashes need no sort and combine per task.
     """
     names = sorted(columns or df.columns)
-    row = F.xxhash64(*names)
+    row = row_hash(names)
     return df.select(row.alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsgrid.functions.columns import to_long
@@ -32,28 +32,27 @@ def join_one_to_one(left: DataFrame, right: DataFrame, key: str, how: str = "lef
     """Join that fails on a duplicate key on either side.
 
     Duplicates are found in the join itself: each side is folded to one row per key with the
-    number of rows it stood for, so the guard costs no extra action.
+    number of rows it stood for, so the guard costs no extra action. The guard is a filter above
+    the join that reads both numbers, so it runs whichever columns are read later.
     """
 
     def folded(df: DataFrame, side: str) -> DataFrame:
         rest = [c for c in df.columns if c != key]
-        return (
-            df.groupBy(key)
-            .agg(F.first(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias("_n"))
-            .select(
-                key,
-                F.when(F.col("_n") == 1, F.col("_row"))
-                .otherwise(
-                    F.raise_error(
-                        F.concat(F.lit(f"duplicate {key} on the {side} side: "), F.col(key).cast("string"))
-                    )
-                )
-                .alias(f"_{side}"),
-            )
+        return df.groupBy(key).agg(
+            F.first(F.struct(*rest)).alias(f"_{side}"), F.count(F.lit(1)).alias(f"_{side}_rows")
+        )
+
+    def single(side: str) -> Column:
+        message = F.concat(F.lit(f"duplicate {key} on the {side} side: "), F.col(key).cast("string"))
+        return F.when(F.coalesce(f"_{side}_rows", F.lit(1)) == 1, F.lit(True)).otherwise(
+            F.raise_error(message).cast("boolean")
         )
 
     return (
-        folded(left, "left").join(folded(right, "right"), key, how).select(key, "_left.*", "_right.*")
+        folded(left, "left")
+        .join(folded(right, "right"), key, how)
+        .where(single("left") & single("right"))
+        .select(key, "_left.*", "_right.*")
     )
 
 

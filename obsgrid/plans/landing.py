@@ -155,6 +155,42 @@ def corrections(spark: SparkSession, sf_dir: str, shift: float) -> DataFrame:
     return _as_array(payloads(spark, sf_dir, shift=shift))
 
 
+def faulty_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every unit in one of seven shapes, five of which break a rule; ``FAULTS_SQL`` says which:
+    a location short, an array too long, a batch that the catalogue lacks, an envelope, an
+    envelope with an unknown id, broken text, a plain array."""
+    turn = (F.col("batch_number") * 3 + F.dayofmonth("start_date")) % 7
+    nested = payloads(spark, sf_dir).withColumn("turn", turn)
+    last = F.greatest(F.size("locations") - 1, F.lit(0))
+    humidity = "relative_humidity_2m_mean"
+    longer = F.transform(
+        "locations",
+        lambda x, i: F.when(i > 0, x).otherwise(
+            x.withField(
+                f"daily.{humidity}", F.array_append(x["daily"][humidity], F.lit(1.0))
+            )
+        ),
+    )
+    shaped = nested.withColumn(
+        "locations",
+        F.when(F.col("turn") == 0, F.slice("locations", F.lit(1), last))
+        .when(F.col("turn") == 1, longer)
+        .otherwise(F.col("locations")),
+    ).withColumn(
+        "location_ids",
+        F.when(
+            F.col("turn") == 4,
+            F.transform("location_ids", lambda x, i: F.when(i == 0, x + 10_000_000).otherwise(x)),
+        ).otherwise(F.col("location_ids")),
+    )
+    moved = work_id(F.col("batch_number") + 1000, F.col("start_date"), F.col("end_date"))
+    shaped = shaped.withColumn("work_id", F.when(F.col("turn") == 2, moved).otherwise(F.col("work_id")))
+    arrays = _as_array(shaped.where(~F.col("turn").isin(3, 4, 5)))
+    envelopes = _as_envelope(shaped.where(F.col("turn").isin(3, 4)))
+    broken = shaped.where(F.col("turn") == 5).select("work_id", F.lit("{broken").alias("value"))
+    return arrays.union(envelopes).union(broken)
+
+
 PLAN_SQL = f"""{DAILY_SQL},
 numbered AS (
   SELECT *, ROW_NUMBER() OVER (ORDER BY location_id) AS ordinal,
@@ -171,3 +207,13 @@ plan AS (
     'batch_' || LPAD(CAST(batch_number AS VARCHAR), 4, '0') || '__' || CAST(start_date AS VARCHAR)
       || '__' || CAST(end_date AS VARCHAR) AS work_id
   FROM numbered, windows GROUP BY batch_number, window_index, start_date, end_date)"""
+
+FAULTS_SQL = f"""{PLAN_SQL},
+turns AS (SELECT *, (batch_number * 3 + CAST(EXTRACT(DAY FROM start_date) AS INTEGER)) % 7 AS turn FROM plan),
+units AS (
+  SELECT CASE WHEN turn = 2 THEN 'batch_' || LPAD(CAST(batch_number + 1000 AS VARCHAR), 4, '0') || '__'
+      || CAST(start_date AS VARCHAR) || '__' || CAST(end_date AS VARCHAR) ELSE work_id END AS work_id,
+    CASE turn WHEN 0 THEN 'location_count' WHEN 1 THEN 'length_relative_humidity_2m_mean'
+      WHEN 2 THEN 'unknown_batch' WHEN 4 THEN 'unknown_id' WHEN 5 THEN 'json' END AS reason,
+    CASE WHEN turn IN (1, 4) THEN 1 ELSE 0 END AS position
+  FROM turns)"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsgrid.plans import landing
-from obsgrid.plans.landing import BATCH, DAYS, PLAN_SQL
+from obsgrid.plans.landing import BATCH, DAYS, FAULTS_SQL, PLAN_SQL
 from obsgrid.plans.registry import query
 from obsgrid.schema import DAILY_SCHEMA, MEASURE_NAMES
 from obsgrid.session import scratch_path
@@ -135,12 +135,13 @@ def upsert_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_merged_sql())
 def refresh_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base table on disk, new rows merged into the years they touch, published, read back."""
+    """Base table on disk, new rows merged into the months they touch, published, read back."""
     daily = daily_obs(spark, sf_dir)
     root, staging = scratch_path(spark, "table"), scratch_path(spark, "staged")
     tables.rebuild_daily(_base(daily), root)
-    touched = tables.read_daily(spark, root, years=[OVERLAP.year, END_OF_BASE.year])
-    merged = refresh.upsert(refresh.ranked(touched, 0), refresh.ranked(_corrected(daily), 1))
+    fresh = _corrected(daily)
+    touched = tables.read_daily(spark, root, months=tables.months_of(fresh))
+    merged = refresh.upsert(refresh.ranked(touched, 0), refresh.ranked(fresh, 1))
     merged.select(*NAMES).write.parquet(staging)
     refresh.publish(spark, spark.read.schema(DAILY_SCHEMA).parquet(staging), root)
     return tables.read_daily(spark, root)
@@ -271,16 +272,40 @@ def refresh_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams ---------------------------------------------------------------------------
 
 
-def _ingest(spark: SparkSession, sf_dir: str, raw: str, root: str, checkpoint: str) -> None:
+def _ingest(
+    spark: SparkSession, sf_dir: str, raw: str, root: str, checkpoint: str
+) -> tuple[str, str]:
+    """Paths of the quarantine and of the manifest. The test tables leave days out."""
+    quarantine, manifest = scratch_path(spark, "quarantine"), scratch_path(spark, "manifest")
     numbered = landing.numbered(spark, sf_dir)
     ingest.ingest(
-        spark,
-        raw,
-        root,
-        scratch_path(spark, "quarantine"),
-        checkpoint,
-        lambda files: payloads.flatten_payloads(files, numbered, BATCH, keep=("file_time",)),
+        spark, raw, root, quarantine, checkpoint, numbered, BATCH, manifest, full_windows=False
     )
+    return quarantine, manifest
+
+
+def _ingest_faulty(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    raw, root, checkpoint = (scratch_path(spark, n) for n in ("raw", "table", "stream"))
+    landing.write_texts(landing.faulty_texts(spark, sf_dir), raw)
+    return _ingest(spark, sf_dir, raw, root, checkpoint)
+
+
+@query(f"WITH {FAULTS_SQL} SELECT work_id, reason, position FROM units WHERE reason IS NOT NULL")
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units that break a rule, one row per rule."""
+    quarantine, _ = _ingest_faulty(spark, sf_dir)
+    refused = spark.read.option("basePath", quarantine).parquet(quarantine)
+    return refused.select(
+        payloads.file_meta(F.col("path"))["work_id"].alias("work_id"), "reason", "position"
+    )
+
+
+@query(f"""WITH {FAULTS_SQL} SELECT work_id,
+  CASE WHEN reason IS NULL THEN 'success' ELSE 'failed' END AS status, reason AS error FROM units""")
+def ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of every unit."""
+    _, manifest = _ingest_faulty(spark, sf_dir)
+    return workplan.read_manifest(spark, manifest).select("work_id", "status", "error")
 
 
 @query(f"WITH {DAILY_SQL} SELECT {DAILY_LIST} FROM daily_obs")

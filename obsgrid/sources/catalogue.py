@@ -62,7 +62,8 @@ def select_places(
 
     Because the cap holds per country, filling greedily by population equals keeping each
     country's ranks 2..cap and taking the largest of them. Ties go to the smaller id. A whole
-    row represents a country, even where some of its fields are NULL.
+    row represents a country, even where some of its fields are NULL. Too few countries or
+    places fail with the shortage named.
     """
     by_size = [F.col("population").desc_nulls_last(), F.col("location_id").asc()]
     named = valid_places(candidates).withColumn("city_key", city_key(F.col("iso3"), F.col("city_ascii")))
@@ -83,8 +84,21 @@ def select_places(
         .orderBy(*by_size)
         .limit(target - countries)
     )
+    chosen = leaders.unionByName(extras)
+    counts = chosen.agg(
+        F.count_if(F.col("_rank") == 1).alias("countries"), F.count(F.lit(1)).alias("places")
+    ).select(F.struct("countries", "places").alias("c"))
+    found = counts.scalar()
+    enough = (found["countries"] == countries) & (found["places"] == target)
+    shortage = F.raise_error(
+        F.format_string(
+            f"selection is short: %d of {countries} countries, %d of {target} places",
+            found["countries"],
+            found["places"],
+        )
+    )
     return (
-        leaders.unionByName(extras)
+        chosen.where(F.when(enough, F.lit(True)).otherwise(shortage.cast("boolean")))
         .drop("_rank")
         .orderBy(
             F.col("country").asc_nulls_last(),

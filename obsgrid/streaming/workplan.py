@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from obsgrid.functions.columns import count_if, one_row, window_days, work_id
 from obsgrid.functions.ordinals import batch_of, with_ordinal
 from obsgrid.operators.ranking import keep_last
 from obsgrid.schema import MANIFEST_SCHEMA
+from obsgrid.session import exists
 
 # Places per request and days per window.
 BATCH_SIZE = 20
@@ -73,10 +73,9 @@ def record_units(results: DataFrame, path: str) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The latest record of every unit; no manifest yet reads as an empty one."""
-    try:
-        records = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except AnalysisException:
+    if not exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    records = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
     return keep_last(records, ["work_id"], ["finished_at", "status"])
 
 

@@ -83,6 +83,11 @@ def test_one_to_one_join(spark):
     assert as_set(join_one_to_one(left, right, "k")) == {(1, "a", "p"), (2, "b", None)}
     with pytest.raises(Exception, match="duplicate k on the right side: 1"):
         join_one_to_one(left, right.union(right), "k").collect()
+    for action in (lambda df: df.count(), lambda df: df.select("k").collect()):
+        with pytest.raises(Exception, match="duplicate k"):
+            action(join_one_to_one(left, right.union(right), "k"))
+        with pytest.raises(Exception, match="duplicate k"):
+            action(join_one_to_one(left.union(left), right, "k"))
     with pytest.raises(Exception, match="duplicate k on the left side: 2"):
         join_one_to_one(left.union(left.where("k = 2")), right, "k").collect()
 

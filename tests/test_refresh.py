@@ -4,6 +4,7 @@ import json
 import os
 from datetime import date, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -140,10 +141,7 @@ def test_stream_of_named_files(spark, tmp_path):
     root, checkpoint, quarantine = (scratch_path(spark, n) for n in ("t", "c", "q"))
 
     def run():
-        ingest.ingest(
-            spark, str(raw), root, quarantine, checkpoint,
-            lambda f: payloads.flatten_payloads(f, numbered, 2, keep=("file_time",)), max_files=2,
-        )
+        ingest.ingest(spark, str(raw), root, quarantine, checkpoint, numbered, 2, max_files=2)
 
     days = ["2024-12-31", "2025-01-01"]
     (raw / "batch_0001__2024-12-31__2025-01-01.json").write_text(
@@ -172,6 +170,124 @@ def test_stream_of_named_files(spark, tmp_path):
     assert {r["precipitation_sum"] for r in table.where("location_id = 3").collect()} == {3.0, 50.0}
 
 
+def _run(spark, raw, numbered, batch_size=2, **options):
+    root, checkpoint, quarantine, manifest = (scratch_path(spark, n) for n in "tcqm")
+
+    def run():
+        ingest.ingest(
+            spark, str(raw), root, quarantine, checkpoint, numbered, batch_size, manifest, **options
+        )
+        bad = spark.read.option("basePath", quarantine).parquet(quarantine).collect()
+        reasons = {(os.path.basename(r["path"]), r["reason"], r["position"]) for r in bad}
+        rows = tables.read_daily(spark, root).select("location_id", F.col("date").cast("string")).collect()
+        units = {r["work_id"][:10]: (r["status"], r["error"]) for r in workplan.read_manifest(spark, manifest).collect()}
+        return {tuple(r) for r in rows}, reasons, units
+
+    return run
+
+
+def test_units_that_break_a_rule_are_kept_out_as_a_whole(spark, tmp_path):
+    days, window = ["2025-01-01", "2025-01-02"], "2025-01-01__2025-01-02"
+    ragged = _location(days, 1.0)
+    ragged["daily"]["precipitation_sum"] = [1.0]
+    late = _location(["2025-01-01", "2025-01-03"], 1.0)
+    whole = _location(days, 1.0)
+    envelope = lambda ids: {
+        "batch_number": 9, "location_ids": ids, "locations": [whole] * 2
+    }
+    files = {
+        f"batch_0001__{window}": [whole],
+        f"batch_0002__{window}": [whole, ragged],
+        f"batch_0003__{window}": [late, whole],
+        f"batch_0004__{window}": envelope([7, 8]),
+        f"batch_0005__{window}": envelope([7, 99]),
+        f"batch_0006__{window}": envelope([7]),
+        f"batch_0077__{window}": [whole, whole],
+        f"batch_0006__2025-01-01__2025-01-01": [_location(days[:1], 1.0)] * 2,
+    }
+    for name, content in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(content))
+    numbered = workplan.number_places(places(spark, 12), 2)
+    rows, reasons, units = _run(spark, tmp_path, numbered)()
+    assert rows == {(i, d) for i in (7, 8) for d in days} | {(11, days[0]), (12, days[0])}
+    assert reasons == {
+        (f"batch_0001__{window}.json", "location_count", 0),
+        (f"batch_0002__{window}.json", "length_precipitation_sum", 2),
+        (f"batch_0003__{window}.json", "last_date", 1),
+        (f"batch_0005__{window}.json", "unknown_id", 2),
+        (f"batch_0006__{window}.json", "location_count", 0),
+        (f"batch_0077__{window}.json", "unknown_batch", 0),
+    }
+    assert units["batch_0004"] == ("success", None) and units["batch_0002"] == ("failed", "length_precipitation_sum")
+
+
+def test_a_late_file_with_an_old_time_stamp_is_read(spark, tmp_path):
+    numbered = workplan.number_places(places(spark, 3), 1)
+    run = _run(spark, tmp_path, numbered, 1)
+
+    def drop(batch, age_days):
+        path = tmp_path / f"batch_{batch:04d}__2025-01-01__2025-01-01.json"
+        path.write_text(json.dumps(_location(["2025-01-01"], 1.0)))
+        then = path.stat().st_mtime - age_days * 86_400
+        os.utime(path, (then, then))
+
+    drop(1, 0)
+    assert {r[0] for r in run()[0]} == {1}
+    drop(2, 400)
+    drop(3, 0)
+    assert {r[0] for r in run()[0]} == {1, 2, 3}
+
+
+def test_a_null_that_moves_is_a_change(spark):
+    left = daily(spark, [row(1, START, temperature_max=5.0, temperature_min=None)])
+    right = daily(spark, [row(1, START, temperature_max=None, temperature_min=5.0)])
+    assert not same_content(left, right)
+    root = scratch_path(spark, "t")
+    tables.rebuild_daily(left, root)
+    assert refresh.publish(spark, right, root) is True
+    assert same_content(tables.read_daily(spark, root), right)
+
+
+def test_only_touched_months_are_rewritten(spark):
+    root = _stored(spark, grid(3, 40))
+    files = lambda: {
+        d: sorted(os.listdir(os.path.join(root, d))) for d in ("year=2025/month=12", "year=2026/month=1", "year=2026/month=2")
+    }
+    before = files()
+    new = daily(spark, grid(3, 1, START + timedelta(days=10), elevation=9.0))
+    ingest.merge_batch(new.withColumn("file_time", F.current_timestamp()), root, 1)
+    after = files()
+    assert [d for d in before if before[d] != after[d]] == ["year=2026/month=1"]
+    table = tables.read_daily(spark, root)
+    assert table.count() == 120 and table.where("elevation = 9").count() == 3
+
+
+def test_an_empty_table_fetches_from_the_first_day(spark):
+    root, state = scratch_path(spark, "t"), scratch_path(spark, "s")
+    tables.rebuild_daily(daily(spark, grid(2, 1)).where("false"), root)
+    calls = []
+
+    def fetch(start, end):
+        calls.append((start, end))
+        return daily(spark, grid(2, 9))
+
+    with pytest.raises(ValueError, match="since"):
+        refresh.refresh(spark, root, state, AS_OF, fetch, 2)
+    outcome = refresh.refresh(spark, root, state, AS_OF, fetch, 2, since=START)
+    assert outcome.status == "updated" and calls == [(START, AS_OF - timedelta(days=1))]
+    assert tables.read_daily(spark, root).count() == 18
+
+
+def test_a_table_that_cannot_be_read_is_no_empty_table(spark, tmp_path):
+    root = tmp_path / "table"
+    (root / "year=2025" / "month=12").mkdir(parents=True)
+    (root / "year=2025" / "month=12" / "part-0.parquet").write_text("no parquet")
+    new = daily(spark, grid(1, 1)).withColumn("file_time", F.current_timestamp())
+    with pytest.raises(Exception):
+        ingest.merge_batch(new, str(root), 1)
+    assert (root / "year=2025" / "month=12" / "part-0.parquet").read_text() == "no parquet"
+
+
 def test_file_listing_reads_no_contents(spark, tmp_path):
     (tmp_path / "batch_0012__2024-01-01__2024-01-14.json").write_text("{}")
     got = payloads.list_files(spark, str(tmp_path)).first()
