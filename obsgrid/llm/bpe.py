@@ -36,12 +36,14 @@ RANKS = "byte_bpe_50k.tiktoken"
 #: Words that a worker encodes and decodes at a time, those that one query merges, and those
 #: whose encodings it keeps.
 BLOCK_WORDS = 1 << 17
-MERGED_WORDS = 1 << 15
-CACHED_WORDS = 1 << 19
+MERGED_WORDS = 1 << 14
+CACHED_WORDS = 3 << 17
+#: Characters of texts that are encoded and passed on at a time, but for a longer text.
+BLOCK_CHARS = 1 << 21
 #: A text up to so many characters is split in one go.
 SPLIT_CHARS = 1 << 20
 #: Limit of DuckDB's own memory in a worker.
-MEMORY = "300MB"
+MEMORY = "200MB"
 
 # Positions count through all words, so one ordering serves every word of a round.
 MERGE_SQL = """
@@ -177,10 +179,16 @@ def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
     return getattr(store, key)
 
 
+def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Consecutive rows of about BLOCK_CHARS characters; an empty batch is one part."""
+    turn = batch["text"].str.len().cumsum() // BLOCK_CHARS
+    return (part for _, part in batch.groupby(turn, sort=False)) if len(batch) else iter([batch])
+
+
 def _coder(ranks: dict[bytes, int], pattern: str, kept: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = _codec(ranks, pattern)
-        for rows in batches:
+        for rows in (part for batch in batches for part in _parts(batch)):
             texts = rows["text"].tolist()
             ids = [[np.zeros(0, np.int32)] for _ in texts]
             decoded = [hashlib.sha256() for _ in texts]
@@ -192,7 +200,7 @@ def _coder(ranks: dict[bytes, int], pattern: str, kept: list[str]):
                 numbers, firsts = np.unique(of_id, return_index=True)
                 for number, part in zip(numbers, np.split(found, firsts[1:])):
                     ids[number].append(part)
-            out = rows[kept].copy()
+            out = rows[kept].reset_index(drop=True)
             whole = [np.concatenate(x) for x in ids]
             out["n_tokens"] = [len(x) for x in whole]
             out["ids"] = whole
