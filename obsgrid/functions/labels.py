@@ -60,21 +60,6 @@ CLUSTER_RGBA = {
 }
 MARKER_RADIUS = 30000
 
-SERVING_LABELS = {
-    "temperature_c": "Temperature",
-    "rainfall_mm_per_day": "Rainfall",
-    "humidity_percent": "Humidity",
-    "wind_speed_kmh": "Wind Speed",
-    "pressure_hpa": "Surface Pressure",
-}
-SERVING_UNITS = {
-    "temperature_c": "°C",
-    "rainfall_mm_per_day": "mm/day",
-    "humidity_percent": "%",
-    "wind_speed_kmh": "km/h",
-    "pressure_hpa": "hPa",
-}
-
 DAILY_TABLE_NAMES = {
     "date": "Date",
     "temperature_mean": "Mean Temperature (°C)",

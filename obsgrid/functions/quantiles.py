@@ -1,16 +1,100 @@
-"""Exact quantiles whose memory does not grow with the data."""
+"""Exact quantiles in memory that does not grow with the data."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsgrid.functions.columns import to_long
-
 SKETCH_ACCURACY = 10_000
-MISSED = "a quantile lies outside its bracket; raise the sketch accuracy"
+#: Parts that a bracket is cut into in each pass.
+SLICES = 256
+
+
+@dataclass
+class _Wanted:
+    """An order statistic: the value of ``rank`` (from 0) lies in [low, high], and ``below``
+    values are smaller than low."""
+
+    column: str
+    rank: int
+    low: float
+    high: float
+    below: int = 0
+    value: float | None = None
+
+    def inside(self) -> Column:
+        return F.col(self.column).between(self.low, self.high)
+
+
+def _moments(df: DataFrame, columns: Sequence[str], edges: list[float], accuracy: int) -> dict:
+    """Per column: sketch of the brackets' ends, extremes, count, mean and deviation; one row."""
+    found = df.agg(
+        *[
+            F.struct(
+                F.percentile_approx(c, edges, accuracy).alias("edges"),
+                F.min(c).alias("least"),
+                F.max(c).alias("most"),
+                F.count(c).alias("n"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+            ).alias(c)
+            for c in columns
+        ]
+    ).first()
+    return {c: found[c] for c in columns}
+
+
+def _place(df: DataFrame, wanted: list[_Wanted], extremes: Mapping[str, tuple]) -> None:
+    """Count what lies below and inside each bracket, in one wide aggregate. A bracket that
+    misses its rank becomes the whole column."""
+    counts = df.agg(
+        *[F.count_if(F.col(w.column) < w.low).alias(f"b{i}") for i, w in enumerate(wanted)],
+        *[F.count_if(w.inside()).alias(f"i{i}") for i, w in enumerate(wanted)],
+    ).first()
+    for i, w in enumerate(wanted):
+        w.below = counts[f"b{i}"]
+        if not w.below <= w.rank < w.below + counts[f"i{i}"]:
+            w.low, w.high, w.below = *extremes[w.column], 0
+
+
+def _narrow(df: DataFrame, wanted: list[_Wanted]) -> None:
+    """Cut every open bracket into slices, count them, and keep the slice that holds the rank.
+    Only values inside brackets are unfolded; a row per slice reaches the driver."""
+
+    def slice_of(w: _Wanted) -> Column:
+        width = (w.high - w.low) / SLICES
+        if not math.isfinite(width) or width == 0.0:
+            # Too wide or too narrow to divide: cut at the middle.
+            return (F.col(w.column) > w.low / 2 + w.high / 2).cast("int")
+        return F.least(F.floor((F.col(w.column) - w.low) / width), F.lit(SLICES - 1)).cast("int")
+
+    entries = [
+        F.when(
+            w.inside(),
+            F.struct(F.lit(i).alias("i"), slice_of(w).alias("s"), F.col(w.column).alias("v")),
+        )
+        for i, w in enumerate(wanted)
+    ]
+    slices = (
+        df.select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("i", "s")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    for r in sorted(slices, key=lambda r: (r["i"], r["s"])):
+        w = wanted[r["i"]]
+        if w.value is None and w.below <= w.rank < w.below + r["n"]:
+            w.low, w.high, w.value = r["low"], r["high"], math.nan
+        elif w.value is None:
+            w.below += r["n"]
+    for w in wanted:
+        if w.value is None:
+            raise ValueError(f"{w.column} has values without an order")
+        w.value = w.low if w.low == w.high else None
 
 
 def exact_quantiles(
@@ -23,98 +107,59 @@ def exact_quantiles(
     and extremes: one row per variable.
 
     ``percentile`` would keep every distinct value of a column in one task. Here a bounded
-    sketch first brackets each wanted rank, then only the values inside a bracket are
-    counted exactly, each distinct value once, however often it occurs. Counts below the
-    bracket come from the same pass, so the picked order statistics are exact. The moments
-    come with the sketch, which leaves two passes over the input.
+    sketch brackets each wanted rank, one wide aggregate counts what lies below and inside the
+    brackets, and passes over the values inside cut each bracket into slices and keep the one
+    with the rank until it holds a single value, however often that occurs. Every pass is an
+    aggregate that combines per task; the driver sees at most SLICES rows per wanted rank.
+
+    The input is kept between the passes. Columns without values give NULLs.
     """
-    long = to_long(df, [], columns).where(F.col("value").isNotNull())
-    slack = 4.0 / accuracy
-    edges = []
-    for p in probabilities.values():
-        edges += [max(p - slack, 0.0), min(p + slack, 1.0)]
-    sketch = long.groupBy("variable").agg(
-        F.percentile_approx("value", edges, accuracy).alias("edges"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-    )
-    few = F.col("n") < 10 * accuracy
-    # One bracket per (variable, probability): at most a few dozen rows, whatever the data size.
-    targets = sketch.select(
-        "variable",
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("quantile"),
-                        (F.lit(p) * (F.col("n") - 1)).alias("position"),
-                        # Few rows need no bracket, and are too few for the slack to cover
-                        # the neighbours that interpolation needs.
-                        F.when(few, F.col("least")).otherwise(F.col("edges")[2 * i]).alias("low"),
-                        F.when(few, F.col("most")).otherwise(F.col("edges")[2 * i + 1]).alias("high"),
-                    )
-                    for i, (name, p) in enumerate(probabilities.items())
-                ]
-            )
-        ).alias("t"),
-    ).select("variable", "n", "t.*")
-    brackets = targets.groupBy("variable").agg(
-        F.collect_list(F.struct("quantile", "low", "high")).alias("brackets")
-    )
-    # Every row falls below, inside or above each bracket; below-rows share one group.
-    placed = (
-        long.join(F.broadcast(brackets), "variable")
-        .select("variable", "value", F.explode("brackets").alias("b"))
-        .where(F.col("value") <= F.col("b.high"))
-        .select(
-            "variable",
-            F.col("b.quantile").alias("quantile"),
-            F.when(F.col("value") >= F.col("b.low"), F.col("value")).alias("value"),
-        )
-        .groupBy("variable", "quantile", "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    order = Window.partitionBy("variable", "quantile").orderBy(F.col("value").asc_nulls_first())
-    ranked = placed.withColumn("upto", F.sum("copies").over(order)).withColumn(
-        "before", F.col("upto") - F.col("copies")
-    )
-    lower = F.floor("position")
-    upper = F.ceil("position")
-    picked = (
-        ranked.join(F.broadcast(targets), ["variable", "quantile"])
-        .groupBy("variable", "quantile", "position")
-        .agg(
-            F.max(F.when((F.col("before") <= lower) & (lower < F.col("upto")), F.col("value"))).alias(
-                "a"
-            ),
-            F.max(F.when((F.col("before") <= upper) & (upper < F.col("upto")), F.col("value"))).alias(
-                "b"
-            ),
-        )
-        .select(
-            "variable",
-            "quantile",
-            F.when(F.col("a").isNull() | F.col("b").isNull(), F.raise_error(F.lit(MISSED)))
-            .otherwise(F.col("a") + (F.col("b") - F.col("a")) * (F.col("position") - lower))
-            .alias("value"),
+    spark = df.sparkSession
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist()
+    try:
+        slack = 4.0 / accuracy
+        names = list(probabilities)
+        edges = [e for p in probabilities.values() for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+        moments = _moments(values, columns, edges, accuracy)
+        ranks: dict[tuple[str, int], _Wanted] = {}
+        positions = {}
+        for c in columns:
+            m = moments[c]
+            for i, name in enumerate(names):
+                if m["n"]:
+                    at = probabilities[name] * (m["n"] - 1)
+                    positions[c, name] = at
+                    for rank in (math.floor(at), math.ceil(at)):
+                        low, high = m["edges"][2 * i], m["edges"][2 * i + 1]
+                        ranks.setdefault((c, rank), _Wanted(c, rank, low, high))
+        wanted = list(ranks.values())
+        if wanted:
+            _place(values, wanted, {c: (m["least"], m["most"]) for c, m in moments.items()})
+        for w in wanted:
+            w.value = w.low if w.low == w.high else None
+        while open_ := [w for w in wanted if w.value is None]:
+            _narrow(values, open_)
+    finally:
+        values.unpersist()
+
+    def interpolated(c: str, name: str) -> float | None:
+        if (c, name) not in positions:
+            return None
+        at = positions[c, name]
+        a, b = (ranks[c, r].value for r in (math.floor(at), math.ceil(at)))
+        return a + (b - a) * (at - math.floor(at))
+
+    rows = [
+        (
+            c,
+            *(moments[c][k] for k in ("n", "mean", "std", "least", "most")),
+            *(interpolated(c, name) for name in names),
         )
+        for c in columns
+    ]
+    quantiles = ", ".join(f"{name} double" for name in names)
+    return spark.createDataFrame(
+        rows,
+        "variable string, count long, mean double, std double, minimum double, maximum double, "
+        + quantiles,
     )
-    quantiles = picked.groupBy("variable").agg(
-        *[
-            F.max(F.when(F.col("quantile") == name, F.col("value"))).alias(name)
-            for name in probabilities
-        ]
-    )
-    moments = sketch.select(
-        "variable",
-        F.col("n").alias("count"),
-        "mean",
-        "std",
-        F.col("least").alias("minimum"),
-        F.col("most").alias("maximum"),
-    )
-    return moments.join(F.broadcast(quantiles), "variable")

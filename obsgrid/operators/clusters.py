@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from obsgrid.functions.columns import to_long
 from obsgrid.functions.labels import member_label
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
-ROWS_PER_PARTITION = 500_000
+#: Partitions that profiles are fitted in. K-Means depends on the layout, so this number does
+#: not follow the row count; raise it for very many places, and expect other clusters then.
+PARTITIONS = 8
 PARALLEL_TRIALS = 4
 
 # The tried settings.
@@ -34,7 +35,7 @@ def stable_layout(profiles: DataFrame, partitions: int, key: str = "location_id"
     """Same rows in the same partitions and order, whatever the input's layout.
 
     K-Means starts from samples per partition, so its result would otherwise follow the
-    layout. The number of partitions follows from the row count alone.
+    layout. The number of partitions is a parameter of its own.
     """
     return profiles.repartition(partitions, key).sortWithinPartitions(key)
 
@@ -42,11 +43,9 @@ def stable_layout(profiles: DataFrame, partitions: int, key: str = "location_id"
 def vectors(
     profiles: DataFrame,
     columns: Sequence[str] = PROFILE_MEASURES,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """Assembled and standardised (sample deviation) vectors in a stable layout."""
-    if partitions is None:
-        partitions = max(1, -(-profiles.count() // ROWS_PER_PARTITION))
     laid_out = stable_layout(profiles, partitions)
     assembled = VectorAssembler(
         inputCols=list(columns), outputCol="raw", handleInvalid="error"
@@ -271,6 +270,50 @@ def pca_2d(frame: DataFrame, keys: Sequence[str], features: str = "features") ->
     )
 
 
-def profile_long(profile: DataFrame, columns: Sequence[str] = SERVING_MEASURES) -> DataFrame:
-    """Cluster profile as (cluster, variable, value) rows."""
-    return to_long(profile, ["cluster_id"], columns)
+def fit_facts(frame: DataFrame, fit: Fit, others: Sequence[Fit] = ()) -> DataFrame:
+    """What must hold for a fit, as one row of numbers: members at their nearest centre, centres
+    at their members' mean, the cost as the sum of squared distances, the best of its trials."""
+    centres = fit.centres()
+    points = fit.assign(frame).select("cluster_id", vector_to_array("features").alias("x"))
+    squares = [
+        sum((F.col("x")[i] - F.lit(v)) * (F.col("x")[i] - F.lit(v)) for i, v in enumerate(centre))
+        for centre in centres
+    ]
+    measured = points.withColumn("d", F.array(*squares)).withColumn(
+        "own", F.get("d", F.col("cluster_id"))
+    )
+    width = len(centres[0])
+    per = measured.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.count_if(F.col("own") <= F.array_min("d") + 1e-9).alias("nearest"),
+        F.sum("own").alias("cost"),
+        F.array(*[F.avg(F.col("x")[i]) for i in range(width)]).alias("mean"),
+    )
+    table = F.array(*[F.array(*[F.lit(v) for v in centre]) for centre in centres])
+    gaps = F.transform(
+        F.arrays_zip("mean", F.get(table, F.col("cluster_id")).alias("centre")),
+        lambda p: F.abs(p["mean"] - p["centre"]),
+    )
+    scores = [silhouette(f.assign(frame)) for f in (fit, *others)]
+    return per.withColumn("gap", F.array_max(gaps)).agg(
+        F.sum("size").alias("rows"),
+        F.count(F.lit(1)).alias("clusters"),
+        F.sum("nearest").alias("at_nearest"),
+        F.count_if(F.col("gap") <= 10 * TOLERANCE).alias("centres_at_mean"),
+        (F.abs(F.sum("cost") - F.lit(fit.cost)) <= 1e-6 * F.sum("cost") + 1e-9).alias("cost_matches"),
+        F.lit(scores[0] >= max(scores)).alias("best_of_trials"),
+    )
+
+
+def pca_facts(points: DataFrame, variables: int) -> DataFrame:
+    """What must hold for two principal coordinates of standardised columns: centred,
+    uncorrelated, in order, and each with the variance it claims to explain."""
+    share = lambda i: F.var_samp(f"pc{i}") / variables
+    return points.agg(
+        F.count(F.lit(1)).alias("rows"),
+        (F.greatest(F.abs(F.avg("pc1")), F.abs(F.avg("pc2"))) < 1e-9).alias("centred"),
+        (F.abs(F.covar_samp("pc1", "pc2")) < 1e-9).alias("uncorrelated"),
+        (F.abs(share(1) - F.max("explained_1")) < 1e-9).alias("first_share"),
+        (F.abs(share(2) - F.max("explained_2")) < 1e-9).alias("second_share"),
+        (F.max("explained_1") >= F.max("explained_2")).alias("in_order"),
+    )

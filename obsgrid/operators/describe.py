@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def date_bounds(daily: DataFrame) -> DataFrame:
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes, quartiles and range, one row per column.
 
-    All columns share two passes over the table; memory stays bounded on any input.
+    All columns share their passes over the table; memory stays bounded on any input.
     """
     stats = exact_quantiles(df, columns, QUARTILES)
     return stats.select(
@@ -241,24 +242,22 @@ def feature_skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns.
 
-    A row unfolds into its column pairs, which are combined per task straight away: one
-    correlation per pair is all that is shuffled, and the plan stays small for many columns.
+    One aggregate holds all pairs, so a row is read once and nothing is unfolded: each task
+    sends one row of pair sums. A pair skips the rows where either value is NULL.
     """
-    last = len(columns) - 1
-    names = F.array(*[F.lit(c) for c in columns])
-    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
-    firsts = values.select("v", F.explode(F.sequence(F.lit(0), F.lit(last - 1))).alias("i"))
-    pairs = (
-        firsts.select("v", "i", F.explode(F.sequence(F.col("i") + 1, F.lit(last))).alias("j"))
-        .groupBy("i", "j")
-        .agg(F.corr(F.get("v", F.col("i")), F.get("v", F.col("j"))).alias("correlation"))
-        .select(
-            F.get(names, F.col("i")).alias("variable_1"),
-            F.get(names, F.col("j")).alias("variable_2"),
-            "correlation",
-            F.abs("correlation").alias("abs_correlation"),
-        )
+    found = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(a).alias("variable_1"),
+                    F.lit(b).alias("variable_2"),
+                    F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"),
+                )
+                for a, b in combinations(columns, 2)
+            ]
+        ).alias("pairs")
     )
+    pairs = found.select(F.inline("pairs")).withColumn("abs_correlation", F.abs("correlation"))
     if top is None:
         return pairs
     order = [F.col("abs_correlation").desc_nulls_last(), "variable_1", "variable_2"]

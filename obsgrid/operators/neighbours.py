@@ -60,6 +60,26 @@ def _blocks(n: int, width: int) -> Iterator[slice]:
         yield slice(start, start + step)
 
 
+def _in_parts(visitors: DataFrame, celled: DataFrame, cell_rows: int):
+    """Visitors and members of each cell as groups to be searched together. A cell with very
+    many visitors is searched in several tasks, each with a copy of its members."""
+    # At most one row per cell.
+    crowds = F.broadcast(
+        visitors.groupBy("cell").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(8 * cell_rows)).alias("parts")
+        )
+    )
+    shared = visitors.join(crowds, "cell").withColumn(
+        "part", F.pmod(F.xxhash64("location_id"), F.col("parts"))
+    )
+    repeated = celled.join(crowds, "cell").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    )
+    # Both sides stem from the same tables; new names keep their columns apart.
+    repeated = repeated.toDF(*[f"c_{c}" if c in ("cell", "part") else c for c in repeated.columns])
+    return shared.groupBy("cell", "part"), repeated.groupBy("c_cell", "c_part")
+
+
 def nearest_all(
     standardised: DataFrame, columns: Sequence[str], n: int = 5, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
@@ -115,16 +135,15 @@ def nearest_all(
     low = boxes[[f"low_{a}" for a in axes]].to_numpy(dtype=float)
     high = boxes[[f"high_{a}" for a in axes]].to_numpy(dtype=float)
 
-    def reach(group: pd.DataFrame) -> pd.DataFrame:
-        """Distance of each site's (n + 1)-th candidate in its own cell."""
-        points = group[axes].to_numpy(dtype=float)
-        first = (group["twin"] == 1).to_numpy()
-        mine = points[first]
+    def reach(own: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
+        """Distance of the (n + 1)-th candidate of their cell from each of some of its sites."""
+        mine = own[axes].to_numpy(dtype=float)
+        points = cell[axes].to_numpy(dtype=float)
         radius = np.full(len(mine), np.inf)
         if len(points) > n:
             for block in _blocks(len(mine), len(points)):
                 radius[block] = np.partition(_distances(mine[block], points), n, axis=1)[:, n]
-        return group.loc[first, ["location_id", *axes]].assign(radius=radius)
+        return own[["location_id", *axes]].assign(radius=radius)
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Cells that reach into a site's radius, its own included."""
@@ -164,28 +183,16 @@ def nearest_all(
         return pd.concat(found)[columns_out]
 
     points = "location_id long, " + ", ".join(f"{a} double" for a in axes)
-    reached = celled.groupBy("cell").applyInPandas(reach, f"{points}, radius double")
+    own, others = _in_parts(
+        celled.where(F.col("twin") == 1).select("cell", "location_id", *axes), celled, cell_rows
+    )
+    reached = own.cogroup(others).applyInPandas(reach, f"{points}, radius double")
     visits_path = scratch_path(spark, "neighbour-visits")
     reached.mapInPandas(visits, f"{points}, target long").write.parquet(visits_path)
     visiting = spark.read.parquet(visits_path)
-    # A cell that very many sites visit is searched in several tasks.
-    crowds = F.broadcast(
-        visiting.groupBy(F.col("target").alias("cell")).agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(8 * cell_rows)).alias("parts")
-        )
-    )
-    shared = visiting.withColumnRenamed("target", "cell").join(crowds, "cell").withColumn(
-        "part", F.pmod(F.xxhash64("location_id"), F.col("parts"))
-    )
-    repeated = celled.join(crowds, "cell").withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    )
-    # Both sides stem from the same tables; new names keep their columns apart.
-    repeated = repeated.toDF(*[f"c_{c}" if c in ("cell", "part") else c for c in repeated.columns])
-    listed = (
-        shared.groupBy("cell", "part")
-        .cogroup(repeated.groupBy("c_cell", "c_part"))
-        .applyInPandas(closest, "site long, neighbour_id long, neighbour string")
+    guests, hosts = _in_parts(visiting.withColumnRenamed("target", "cell"), celled, cell_rows)
+    listed = guests.cogroup(hosts).applyInPandas(
+        closest, "site long, neighbour_id long, neighbour string"
     )
     # Distances come from the candidates' own coordinates, once per listed pair.
     there = celled.select(F.col("location_id").alias("neighbour_id"), F.array(*axes).alias("there"))

@@ -64,32 +64,29 @@ def keep_last(rows: DataFrame, keys: Sequence[str], rank: Sequence[str]) -> Data
     )
 
 
-def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        rows.withColumn("_version", F.row_number().over(window))
-        .where(F.col("_version") == 1)
-        .drop("_version")
-    )
-
-
 def latest_per_city(daily: DataFrame, keys: Sequence[str] = ("location_id",)) -> DataFrame:
     """The most recent row of every place."""
     return keep_last(daily, keys, ["date"])
 
 
-def city_range(daily: DataFrame, city: str, start: date, end: date) -> DataFrame:
-    """One place's days in an inclusive range. The year bounds prune partitions, which a
-    filter on ``date`` alone does not."""
-    return daily.where(
-        (F.col("city") == city)
-        & F.col("year").between(start.year, end.year)
-        & F.col("date").between(F.lit(start), F.lit(end))
-    ).orderBy("date")
+def ids_of(places: DataFrame, city: str) -> list[int]:
+    """The ids of a city's places; a name has a handful of them."""
+    found = places.where(F.col("city") == city).select("location_id").distinct().collect()
+    return sorted(r["location_id"] for r in found)
+
+
+def city_series(daily: DataFrame, ids: Sequence[int]) -> DataFrame:
+    """The days of places given by id: the filter reaches the scan, below any fold by place."""
+    return daily.where(F.col("location_id").isin(*ids)).orderBy("date")
 
 
-def city_series(daily: DataFrame, city: str) -> DataFrame:
-    return daily.where(F.col("city") == city).orderBy("date")
+def city_range(daily: DataFrame, ids: Sequence[int], start: date, end: date) -> DataFrame:
+    """Their days in an inclusive range. The year bounds prune partitions, which a filter on
+    ``date`` alone does not."""
+    return city_series(daily, ids).where(
+        F.col("year").between(start.year, end.year)
+        & F.col("date").between(F.lit(start), F.lit(end))
+    )
 
 
 def in_clusters(places: DataFrame, cluster_ids: Sequence[int]) -> DataFrame:

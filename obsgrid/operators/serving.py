@@ -11,6 +11,7 @@ from obsgrid.functions.columns import to_long
 from obsgrid.functions.labels import (
     CLUSTER_COLOURS,
     CLUSTER_NAMES,
+    CLUSTER_RGBA,
     FEATURE_TEXTS,
     MARKER_RADIUS,
     lookup,
@@ -112,6 +113,7 @@ def map_layer(serving: DataFrame) -> DataFrame:
         "longitude",
         lookup(cluster, CLUSTER_NAMES).alias("cluster_name"),
         lookup(cluster, CLUSTER_COLOURS).alias("marker_colour"),
+        lookup(cluster, {k: ",".join(map(str, v)) for k, v in CLUSTER_RGBA.items()}).alias("marker_rgba"),
         F.lit(MARKER_RADIUS).alias("marker_radius"),
     )
 

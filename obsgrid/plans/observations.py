@@ -52,6 +52,20 @@ def union_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.union_layers(historical, recent)
 
 
+@query(daily_sql(f"""
+SELECT location_id, date, year, precipitation_sum,
+  CASE WHEN date < DATE '{SPLIT}' THEN elevation END AS elevation,
+  CASE WHEN date >= DATE '{SPLIT}' THEN timezone END AS timezone FROM daily_obs"""))
+def drifted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns drifted apart, scanned as one table by column name."""
+    daily = daily_obs(spark, sf_dir)
+    common = ["location_id", "date", "year", "precipitation_sum"]
+    old, new = scratch_path(spark, "old-columns"), scratch_path(spark, "new-columns")
+    daily.where(F.col("date") < F.lit(SPLIT)).select(*common, "elevation").write.parquet(old)
+    daily.where(F.col("date") >= F.lit(SPLIT)).select("timezone", *common).write.parquet(new)
+    return tables.read_merged(spark, old, new)
+
+
 @query(daily_sql("""
 SELECT column_name, CAST(COUNT(*) AS BIGINT) AS required_rows FROM daily_obs,
   (VALUES ('location_id'), ('date'), ('temperature_mean'), ('precipitation_sum'), ('year')) v(column_name)
@@ -139,13 +153,13 @@ def global_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {DAILY_LIST} FROM daily_obs
 WHERE city = '{CITY}' AND date BETWEEN DATE '1998-03-15' AND DATE '2000-06-30'"""))
 def city_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = daily_obs(spark, sf_dir)
-    return ranking.city_range(daily, CITY, date(1998, 3, 15), date(2000, 6, 30))
+    ids = ranking.ids_of(catalogue(spark, sf_dir), CITY)
+    return ranking.city_range(daily_obs(spark, sf_dir), ids, date(1998, 3, 15), date(2000, 6, 30))
 
 
 @query(daily_sql(f"SELECT {DAILY_LIST} FROM daily_obs WHERE city = '{CITY}'"))
 def city_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.city_series(daily_obs(spark, sf_dir), CITY)
+    return ranking.city_series(daily_obs(spark, sf_dir), ranking.ids_of(catalogue(spark, sf_dir), CITY))
 
 
 @query(daily_sql(f"""

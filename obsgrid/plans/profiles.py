@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsgrid.functions import labels
 from obsgrid.operators import clusters, describe, features, neighbours, ranking, serving, similarity
+from obsgrid.operators.quality import assignment_report
 from obsgrid.plans.observations import CITY, _stats_sql, round_columns
 from obsgrid.plans.registry import query, rounded
 from obsgrid.schema import IDENTITY, PROFILE_MEASURES, SERVING_MEASURES, SERVING_NAMES
@@ -212,13 +213,16 @@ def location_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CLUSTER_NAME_SQL = "CASE cluster_id " + " ".join(
     f"WHEN {k} THEN '{v}'" for k, v in labels.CLUSTER_NAMES.items()) + " END"
+RGBA_SQL = "CASE cluster_id " + " ".join(
+    f"WHEN {k} THEN '{','.join(map(str, v))}'" for k, v in labels.CLUSTER_RGBA.items()) + " END"
 COLOUR_SQL = "CASE cluster_id " + " ".join(
     f"WHEN {k} THEN '{v}'" for k, v in labels.CLUSTER_COLOURS.items()) + " END"
 
 
 @query(f"""WITH {PROFILE_SQL}
 SELECT location_id, city, country, latitude, longitude, {CLUSTER_NAME_SQL} AS cluster_name,
-  {COLOUR_SQL} AS marker_colour, CAST({labels.MARKER_RADIUS} AS INTEGER) AS marker_radius FROM serving""")
+  {COLOUR_SQL} AS marker_colour, {RGBA_SQL} AS marker_rgba,
+  CAST({labels.MARKER_RADIUS} AS INTEGER) AS marker_radius FROM serving""")
 def map_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.map_layer(serve(spark, sf_dir))
 
@@ -413,7 +417,43 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.vectors(profile(spark, sf_dir))
+    """Vectors of the profiles, which are folded and stored once for all fits over them."""
+    path, table = scratch_path(spark, "profiles"), profile(spark, sf_dir)
+    table.write.parquet(path)
+    return clusters.vectors(spark.read.schema(table.schema).parquet(path))
+
+
+@query(f"""WITH {PROFILE_SQL} SELECT COUNT(*) AS rows, CAST({clusters.FINAL_K} AS BIGINT) AS clusters,
+  COUNT(*) AS at_nearest, CAST({clusters.FINAL_K} AS BIGINT) AS centres_at_mean, TRUE AS cost_matches,
+  TRUE AS best_of_trials FROM profile""")
+def kmeans_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the final clusters, whatever they are."""
+    frame = _frame(spark, sf_dir)
+    fit = clusters.best_fit(frame)
+    others = [clusters.fit_kmeans(frame, clusters.FINAL_K, seed) for seed in clusters.SEEDS[:2]]
+    return clusters.fit_facts(frame, fit, others)
+
+
+@query(f"""WITH {PROFILE_SQL} SELECT COUNT(*) AS rows, TRUE AS centred, TRUE AS uncorrelated,
+  TRUE AS first_share, TRUE AS second_share, TRUE AS in_order FROM profile""")
+def pca_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for the two principal coordinates."""
+    points = clusters.pca_2d(_frame(spark, sf_dir), ["location_id"])
+    return clusters.pca_facts(points, len(PROFILE_MEASURES))
+
+
+@query(f"""WITH {PROFILE_SQL}, facts AS (SELECT COUNT(*) AS n, COUNT(DISTINCT cluster_id) AS used,
+    COUNT(*) FILTER (WHERE cluster_id NOT BETWEEN 0 AND {clusters.FINAL_K - 1}) AS outside,
+    (SELECT COUNT(*) FROM catalogue) AS wanted FROM serving),
+rules AS (SELECT 'clusters' AS dataset, 'rows' AS rule, CAST(n AS VARCHAR) AS observed,
+    CAST(wanted AS VARCHAR) AS expected FROM facts
+  UNION ALL SELECT 'clusters', 'clusters_used', CAST(used AS VARCHAR), '{clusters.FINAL_K}' FROM facts
+  UNION ALL SELECT 'clusters', 'ids_outside_range', CAST(outside AS VARCHAR), '0' FROM facts)
+SELECT *, CASE WHEN observed = expected THEN 'PASS' ELSE 'FAIL' END AS status FROM rules""")
+def assignment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of a cluster assignment: ids in range, all used, every place assigned."""
+    wanted = catalogue(spark, sf_dir).count()
+    return assignment_report(serve(spark, sf_dir), "clusters", clusters.FINAL_K, wanted)
 
 
 @query()

@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 
 from obsgrid.operators import quality as rules
 from obsgrid.plans.observations import HOLES_SQL, _with_holes
-from obsgrid.plans.profiles import FEATURES, FEATURES_SQL, PROFILE_SQL, climate, profile
-from obsgrid.plans.registry import query
+from obsgrid.plans.profiles import (
+    FEATURES,
+    FEATURES_SQL,
+    PROFILE_SQL,
+    assignment_rules,
+    climate,
+    profile,
+)
+from obsgrid.plans.registry import ORACLES, query
 from obsgrid.schema import MEASURE_NAMES
+from obsgrid.session import scratch_path
+from obsgrid.sources.tables import write_report
 from obsgrid.sources.views import DAILY_SQL, catalogue, daily_obs, readings
 
 
@@ -167,6 +176,18 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.unionByName(rules.feature_report(climate(spark, sf_dir), "features", FEATURES))
 
 
+@query(f"""SELECT *, 'test tables' AS source FROM ({ORACLES['dq_report']})
+UNION ALL SELECT *, 'assignment by id' AS source FROM ({ORACLES['assignment_rules']})""")
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports of all datasets with where they come from, written as JSON and read back."""
+    found = dq_report(spark, sf_dir).withColumn("source", F.lit("test tables")).unionByName(
+        assignment_rules(spark, sf_dir).withColumn("source", F.lit("assignment by id"))
+    )
+    path = scratch_path(spark, "report")
+    write_report(found, path, "json")
+    return spark.read.schema(found.schema).json(path)
+
+
 # Readings as whole numbers of grid steps, some of them missing, as text that every engine
 # writes alike.
 DIGEST_COLUMNS = sorted(["location_id", "date", *MEASURE_NAMES])

@@ -32,8 +32,6 @@ MEASURES = (
 )
 
 MEASURE_NAMES = tuple(m.name for m in MEASURES)
-MEASURE_UNITS = {m.name: m.unit for m in MEASURES}
-MEASURE_LABELS = {m.name: m.label for m in MEASURES}
 SUMMED = frozenset(m.name for m in MEASURES if m.rule == "sum")
 
 # The five measures that describe a place's profile, with their serving names.

@@ -17,20 +17,25 @@ from obsgrid.session import exists
 BATCH_SIZE = 20
 WINDOW_DAYS = 14
 
-ID_BUCKETS = 100_000
+#: Ranges of ids that places are numbered in, and the accuracy of their edges.
+ID_BUCKETS = 512
+ID_ACCURACY = 100_000
 
 
 def number_places(places: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Catalogue rows with ordinal and batch number, in id order.
 
-    Ids are cut into at most ``ID_BUCKETS`` equal ranges between the smallest and largest.
+    Ids are cut at ``ID_BUCKETS`` approximate quantiles, so that each range holds about as many
+    places, however the ids cluster.
     """
     key = F.col("location_id")
-    ends = places.agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    width = F.floor((F.col("_ends.high") - F.col("_ends.low")) / F.lit(ID_BUCKETS)) + 1
-    bucket = F.floor((key - F.col("_ends.low")) / width)
-    ranged = places.withColumn("_ends", one_row(ends, "low", "high"))
-    numbered = with_ordinal(ranged, bucket, [key]).drop("_ends")
+    cuts = [i / ID_BUCKETS for i in range(1, ID_BUCKETS)]
+    edges = places.agg(
+        F.array_sort(F.array_distinct(F.percentile_approx(key, cuts, ID_ACCURACY))).alias("edges")
+    )
+    bucket = F.size(F.filter("_cut.edges", lambda e: e < key))
+    ranged = places.withColumn("_cut", one_row(edges, "edges"))
+    numbered = with_ordinal(ranged, bucket, [key]).drop("_cut")
     return numbered.withColumn("batch_number", batch_of(F.col("ordinal"), batch_size))
 
 

@@ -14,6 +14,7 @@ from obsgrid.functions.labels import weather_text, with_unit
 from obsgrid.functions.ordinals import batch_of, with_ordinal
 from obsgrid.functions.quantiles import exact_quantiles
 from obsgrid.operators import describe
+from obsgrid.streaming import workplan
 
 PROBABILITIES = {"q25": 0.25, "median": 0.5, "q75": 0.75, "p99": 0.99, "least_": 0.0, "most_": 1.0}
 
@@ -56,6 +57,14 @@ def test_ordinals_are_consecutive_in_any_layout(spark):
     assert sorted(r["count"] for r in batches) == [19] + [20] * 19
 
 
+def test_places_are_numbered_in_even_ranges_however_their_ids_cluster(spark):
+    ids = [*range(10**12, 10**12 + 3000), *range(500), 7 * 10**15]
+    df = spark.createDataFrame([(i,) for i in ids], "location_id long")
+    got = workplan.number_places(df, 20).orderBy("location_id").collect()
+    assert [r["ordinal"] for r in got] == list(range(1, len(ids) + 1))
+    assert [r["location_id"] for r in got] == sorted(ids)
+
+
 def test_nonfinite_and_labels(spark):
     df = spark.createDataFrame(
         [(1.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double"

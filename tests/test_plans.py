@@ -30,13 +30,25 @@ def stored(spark):
 
 def test_year_prunes_and_filters_are_pushed(spark, stored):
     table = read_daily(spark, stored)
-    plan = plan_of(ranking.city_range(table, "City 1", date(2026, 1, 2), date(2026, 1, 9)).select("temperature_mean"))
+    plan = plan_of(ranking.city_range(table, [1], date(2026, 1, 2), date(2026, 1, 9)).select("temperature_mean"))
     assert re.search(r"PartitionFilters: \[.*year.*2026", plan)
-    assert re.search(r"PushedFilters: \[.*EqualTo\(city,City 1\)", plan)
+    assert re.search(r"PushedFilters: \[.*EqualTo\(location_id,1\)", plan)
     columns = re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
     assert "precipitation_sum" not in columns and "timezone" not in columns
 
 
+def test_one_city_is_filtered_below_the_fold(spark, sf_dir):
+    for name in ("city_series", "city_range"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        scan = next(x for x in re.findall(r"PushedFilters: \[.*\]", plan) if "l_suppkey" in x)
+        assert re.search(r"(EqualTo|In)\(l_suppkey", scan), scan
+
+
+def test_pair_correlations_are_one_aggregate(spark, sf_dir):
+    tree = plan_of(QUERIES["corr_pairs"](spark, sf_dir)).split("\n\n")[0]
+    assert "Expand" not in tree and tree.count("Generate") <= 1
+
+
 def test_features_need_one_shuffle(spark, stored):
     plan = plan_of(features.climate_features(read_daily(spark, stored), ["location_id"]))
     tree = plan.split("\n\n")[0]
