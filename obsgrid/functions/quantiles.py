@@ -30,12 +30,11 @@ class _Wanted:
         return F.col(self.column).between(self.low, self.high)
 
 
-def _moments(df: DataFrame, columns: Sequence[str], edges: list[float], accuracy: int) -> dict:
-    """Per column: sketch of the brackets' ends, extremes, count, mean and deviation; one row."""
+def _moments(df: DataFrame, columns: Sequence[str]) -> dict:
+    """Extremes, count, mean and deviation per column; one row."""
     found = df.agg(
         *[
             F.struct(
-                F.percentile_approx(c, edges, accuracy).alias("edges"),
                 F.min(c).alias("least"),
                 F.max(c).alias("most"),
                 F.count(c).alias("n"),
@@ -48,6 +47,20 @@ def _moments(df: DataFrame, columns: Sequence[str], edges: list[float], accuracy
     return {c: found[c] for c in columns}
 
 
+def _bracket(df: DataFrame, wanted: list[_Wanted], sizes: Mapping[str, int], accuracy: int) -> None:
+    """Bracket every rank by a bounded sketch, whose ranks are off by 1 / accuracy of the rows at
+    most. Ends that agree are the value itself, as all are where the rows are few."""
+    edges: dict[str, list[float]] = {}
+    for w in wanted:
+        middle, slack = (w.rank + 0.5) / sizes[w.column], 2.0 / accuracy
+        edges.setdefault(w.column, []).extend((max(middle - slack, 0.0), min(middle + slack, 1.0)))
+    found = df.agg(*[F.percentile_approx(c, e, accuracy).alias(c) for c, e in edges.items()]).first()
+    ends = {c: iter(found[c]) for c in edges}
+    for w in wanted:
+        w.low, w.high = next(ends[w.column]), next(ends[w.column])
+        w.value = w.low if w.low == w.high else None
+
+
 def _place(df: DataFrame, wanted: list[_Wanted], extremes: Mapping[str, tuple]) -> None:
     """Count what lies below and inside each bracket, in one wide aggregate. A bracket that
     misses its rank becomes the whole column."""
@@ -108,7 +121,7 @@ def exact_quantiles(
 
     ``percentile`` would keep every distinct value of a column in one task. Here a bounded
     sketch brackets each wanted rank, one wide aggregate counts what lies below and inside the
-    brackets, and passes over the values inside cut each bracket into slices and keep the one
+    brackets that are still open, and passes over the values inside cut each bracket into slices and keep the one
     with the rank until it holds a single value, however often that occurs. Every pass is an
     aggregate that combines per task; the driver sees at most SLICES rows per wanted rank.
 
@@ -117,26 +130,24 @@ def exact_quantiles(
     spark = df.sparkSession
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist()
     try:
-        slack = 4.0 / accuracy
-        names = list(probabilities)
-        edges = [e for p in probabilities.values() for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-        moments = _moments(values, columns, edges, accuracy)
-        ranks: dict[tuple[str, int], _Wanted] = {}
-        positions = {}
-        for c in columns:
-            m = moments[c]
-            for i, name in enumerate(names):
-                if m["n"]:
-                    at = probabilities[name] * (m["n"] - 1)
-                    positions[c, name] = at
-                    for rank in (math.floor(at), math.ceil(at)):
-                        low, high = m["edges"][2 * i], m["edges"][2 * i + 1]
-                        ranks.setdefault((c, rank), _Wanted(c, rank, low, high))
+        moments = _moments(values, columns)
+        extremes = {c: (m["least"], m["most"]) for c, m in moments.items()}
+        positions = {
+            (c, name): p * (moments[c]["n"] - 1)
+            for c in columns
+            for name, p in probabilities.items()
+            if moments[c]["n"]
+        }
+        ranks = {
+            (c, rank): _Wanted(c, rank, *extremes[c])
+            for (c, _), at in positions.items()
+            for rank in (math.floor(at), math.ceil(at))
+        }
         wanted = list(ranks.values())
         if wanted:
-            _place(values, wanted, {c: (m["least"], m["most"]) for c, m in moments.items()})
-        for w in wanted:
-            w.value = w.low if w.low == w.high else None
+            _bracket(values, wanted, {c: m["n"] for c, m in moments.items()}, accuracy)
+        if missing := [w for w in wanted if w.value is None]:
+            _place(values, missing, extremes)
         while open_ := [w for w in wanted if w.value is None]:
             _narrow(values, open_)
     finally:
@@ -153,11 +164,11 @@ def exact_quantiles(
         (
             c,
             *(moments[c][k] for k in ("n", "mean", "std", "least", "most")),
-            *(interpolated(c, name) for name in names),
+            *(interpolated(c, name) for name in probabilities),
         )
         for c in columns
     ]
-    quantiles = ", ".join(f"{name} double" for name in names)
+    quantiles = ", ".join(f"{name} double" for name in probabilities)
     return spark.createDataFrame(
         rows,
         "variable string, count long, mean double, std double, minimum double, maximum double, "

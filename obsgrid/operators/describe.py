@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,22 +241,32 @@ def feature_skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns.
 
-    One aggregate holds all pairs, so a row is read once and nothing is unfolded: each task
-    sends one row of pair sums. A pair skips the rows where either value is NULL.
+    A row unfolds once per column, not per pair; an aggregate holds that column's correlations
+    with all others, so each task sends one row per column. A pair skips the rows where either
+    value is NULL.
     """
-    found = df.agg(
+    last = len(columns) - 1
+    names = F.array(*[F.lit(c) for c in columns])
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    firsts = values.select("v", F.posexplode(F.slice("v", 1, last)).alias("i", "x"))
+    found = firsts.groupBy("i").agg(
         F.array(
             *[
-                F.struct(
-                    F.lit(a).alias("variable_1"),
-                    F.lit(b).alias("variable_2"),
-                    F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"),
-                )
-                for a, b in combinations(columns, 2)
+                F.struct(F.lit(j).alias("j"), F.corr("x", F.get("v", F.lit(j))).alias("correlation"))
+                for j in range(1, last + 1)
             ]
         ).alias("pairs")
     )
-    pairs = found.select(F.inline("pairs")).withColumn("abs_correlation", F.abs("correlation"))
+    pairs = (
+        found.select("i", F.inline("pairs"))
+        .where(F.col("j") > F.col("i"))
+        .select(
+            F.get(names, F.col("i")).alias("variable_1"),
+            F.get(names, F.col("j")).alias("variable_2"),
+            "correlation",
+            F.abs("correlation").alias("abs_correlation"),
+        )
+    )
     if top is None:
         return pairs
     order = [F.col("abs_correlation").desc_nulls_last(), "variable_1", "variable_2"]
