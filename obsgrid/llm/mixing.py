@@ -26,9 +26,12 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: A source's target stops at so many times its size, and so does a document.
 REPEATS = 3
 SEED = 7
-#: Words that dynamic programming fills at most; what is above is taken in proportion, and
-#: lengths above it are taken in that way only.
+#: Words that dynamic programming fills at most; what is above is taken in proportion. Where a
+#: length is above half of it, it fills ``WIDE`` of the longest, as far as ``WIDEST`` words go, and
+#: two of the longest in any case.
 RESIDUAL = 1 << 16
+WIDE = 16
+WIDEST = 1 << 21
 
 
 def sizes(
@@ -79,6 +82,12 @@ def targets(sized: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
     )
 
 
+def _residual(longest: int) -> int:
+    if longest <= RESIDUAL // 2:
+        return RESIDUAL
+    return longest * max(2, min(WIDE, WIDEST // longest))
+
+
 def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many of each length to take so that their words come as near to ``budget`` as the
     dynamic programming can bring them, never above it. Lengths are positive and ascending."""
@@ -88,17 +97,19 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         return counts.copy()
     if budget <= 0:
         return take
-    # In proportion, leaving about half a residual's worth of words to choose from.
-    share = max(0.0, (budget - RESIDUAL / 2) / total)
+    # In proportion, leaving about half a residual's worth of words to choose from. No length that
+    # fits is above half a residual, so every one can still be taken.
+    residual = _residual(int(lengths[lengths <= budget].max(initial=0)))
+    share = max(0.0, (budget - residual / 2) / total)
     take = np.floor(counts * share).astype(np.int64)
     left = budget - int((lengths * take).sum())
     for i in np.argsort(-lengths, kind="stable"):
-        if left <= RESIDUAL:
+        if left <= residual:
             break
-        more = min(int(counts[i] - take[i]), max(0, left - RESIDUAL // 2) // int(lengths[i]))
+        more = min(int(counts[i] - take[i]), max(0, left - residual // 2) // int(lengths[i]))
         take[i] += more
         left -= more * int(lengths[i])
-    return take + _knapsack(lengths, counts - take, min(left, RESIDUAL))
+    return take + _knapsack(lengths, counts - take, min(left, residual))
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -112,17 +123,16 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
         length, copies = int(lengths[i]), int(counts[i])
         if length > budget or not copies or reached[budget]:
             continue
-        used, front = 0, reached.copy()
-        while used < copies:
-            # Sums that one more copy reaches from those reached with ``used`` copies.
-            fresh = np.zeros(budget + 1, bool)
-            fresh[length:] = front[: budget + 1 - length]
-            fresh &= ~reached
-            if not fresh.any():
-                break
-            by[fresh] = i
-            reached |= fresh
-            front, used = fresh, used + 1
+        # Sums in steps of the length as columns: how far above the last reached one each lies.
+        steps = -(-(budget + 1) // length)
+        grid = np.zeros(steps * length, bool)
+        grid[: budget + 1] = reached
+        rows = np.arange(steps, dtype=np.int32)[:, None]
+        last = np.where(grid.reshape(steps, length), rows, np.int32(-1))
+        np.maximum.accumulate(last, axis=0, out=last)
+        fresh = ((last >= 0) & (rows - last <= copies)).reshape(-1)[: budget + 1] & ~reached
+        by[fresh] = i
+        reached |= fresh
     at = int(np.flatnonzero(reached)[-1])
     while at:
         took[by[at]] += 1

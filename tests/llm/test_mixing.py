@@ -99,3 +99,27 @@ def test_awkward_rows(spark):
     assert {r["size"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0}
     assert all(r["taken"] <= 3 * r["size"] for r in rows)
     assert mixing.mix(nothing(spark)).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.integers(65_537, 140_000), st.integers(1, 3)), min_size=1, max_size=6, unique_by=lambda x: x[0]
+    ),
+    st.integers(0, 1_000_000),
+)
+def test_fill_takes_lengths_above_the_residual(rows, budget):
+    rows.sort()
+    lengths, counts = (np.array(x) for x in zip(*rows))
+    take = mixing.fill(lengths, counts, budget)
+    assert (take >= 0).all() and (take <= counts).all()
+    sums = {0}
+    for length, n in rows:
+        sums = {s + length * k for s in sums for k in range(n + 1)}
+    assert (take * lengths).sum() == max(s for s in sums if s <= budget)
+
+
+def test_long_texts_that_fit_exactly_are_taken():
+    assert mixing.fill(np.array([70_000]), np.array([3]), 140_000).tolist() == [2]
+    lengths, counts = np.array([10, 70_000]), np.array([100_000, 40])
+    assert (mixing.fill(lengths, counts, 2_100_010) * lengths).sum() == 2_100_010
