@@ -73,6 +73,9 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(
     r"([a-zA-Z_:][-\w:.]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+"
 )
+#: Ends of sentences, which lists of names and menus don't have.
+SENTENCE = re.compile(r"[.!?…][\"'»”’)\]]*(?:\s|$)|[。！？।؟۔።]")
+_LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
 _WORD = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -86,6 +89,7 @@ class Block:
     main: bool
     boilerplate: bool
     heading: bool
+    code: bool = False
     label: bool | None = None
 
 
@@ -129,8 +133,9 @@ class _Cutter:
                 linked = sum(len(" ".join(t.split())) for t, link in self.pieces if link)
                 top = self.stack[-1]
                 heading = any(e.name in HEADINGS for e in self.stack[-3:])
+                code = any(e.name == "pre" for e in self.stack)
                 self.blocks.append(
-                    Block(whole, linked, top.section, top.main, top.boilerplate, heading)
+                    Block(whole, linked, top.section, top.main, top.boilerplate, heading, code)
                 )
             self.pieces = []
 
@@ -219,14 +224,38 @@ def _first_pass(block: Block) -> bool | None:
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if stops >= MANY_STOPS:
         return True
-    # Inside an article few stop words mean another language or a list rather than boilerplate.
-    return False if stops < FEW_STOPS and not block.main else None
+    # Few stop words mean another language, code or a list: inside an article none of them is
+    # boilerplate, outside only what doesn't read like text is.
+    return False if stops < FEW_STOPS and not block.main and not _reads_on(block, words) else None
+
+
+def _reads_on(block: Block, words: list[str]) -> bool:
+    """Code, sentences, or letters of which the stop words say nothing."""
+    if block.code or SENTENCE.search(block.text):
+        return True
+    return 2 * sum(bool(_LATIN.match(w)) for w in words) < len(words)
+
+
+def _fall_back(blocks: list[Block]) -> None:
+    """Where no block is decided to be main text, the long ones with few links are: those that
+    are open, else those that only their words decided against."""
+    if any(b.label for b in blocks):
+        return
+    long = [b for b in blocks if len(b.text) >= SHORT and not b.heading and not b.boilerplate]
+    long = [b for b in long if b.link_chars <= LINKS * len(b.text)]
+    if not any(b.main for b in blocks if b.label is None):
+        long = [b for b in long if b.label is None] or long
+    else:
+        long = [b for b in long if b.label is None]
+    for block in long:
+        block.label = True
 
 
 def _second_pass(blocks: list[Block]) -> None:
     """Open blocks take the label of the nearest decided one: of their own section if it has
     any, else of the page unless they are in an article. A heading looks ahead first; at equal
-    distance main text wins. Where no block is decided to be main text the open ones are it."""
+    distance main text wins. Where all blocks are short and none is decided to be main text, the
+    open ones are it."""
     decided = [(i, b) for i, b in enumerate(blocks) if b.label is not None]
     if not any(b.label for _, b in decided):
         decided = []
@@ -248,6 +277,7 @@ def main_text(page: str | None) -> str:
     blocks = cut(page or "")
     for block in blocks:
         block.label = _first_pass(block)
+    _fall_back(blocks)
     open_blocks = [b for b in blocks if b.label is None]
     if open_blocks:
         # Labels of the first pass only: what inherits is no neighbour for others.

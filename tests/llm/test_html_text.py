@@ -63,3 +63,24 @@ def test_awkward_rows(spark):
     got = html_text.extract(pages).collect()
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got) == [(0, "a", 1), (1, "", 0), (1, "", 0)]
     assert html_text.extract(pages.where("false")).count() == 0
+
+
+RUSSIAN = "Утром на площади собрались жители города, и торговля шла весь день до самого вечера без перерыва. "
+CHINESE = "早上镇上的人们像往常一样去集市买东西，天气很好，孩子们在河边玩耍，老人们坐在树下聊天。" * 3
+FINNISH = "Aamulla kaupungin asukkaat kokoontuivat torille, ja kauppa kävi vilkkaana aina iltaan saakka ilman taukoa."
+CODE = "def total(values): result = 0 for value in values: result += value return result  # adds up values"
+
+
+def test_other_languages_and_code_outside_articles():
+    for text in (RUSSIAN.strip(), CHINESE, FINNISH, "ภาษาไทยไม่มีจุดจบประโยค" * 6):
+        page = f"<div><h1>head</h1><p>{text}</p><p>{text}</p></div><div><a href=x>{text}</a></div><div>Short</div>"
+        assert main_text(page) == f"head\n\n{text}\n\n{text}"
+    assert main_text(f"<div><h1>head</h1><pre>{CODE}</pre></div>") == "head\n\n" + " ".join(CODE.split())
+    mixed = f"<div>{LONG}</div><pre>{CODE}</pre><div>{LONG}</div><p>{RUSSIAN}</p>"
+    line = LONG.strip()
+    assert main_text(mixed) == "\n\n".join([line, " ".join(CODE.split()), line, RUSSIAN.strip()])
+
+
+def test_long_blocks_rather_than_short_ones_where_none_is_decided():
+    names = "Widgets Gadgets Gizmos Contraptions Devices Machines Tools Engines Parts Spares Offers Deals"
+    assert names in main_text(f"<div>{names}</div><div>Short</div>")
