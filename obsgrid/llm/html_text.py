@@ -61,6 +61,9 @@ NAMES = frozenset(
     "recommendations widget comment comments respond replies disqus pagination pager "
     "contentinfo complementary dialog toolbar skip copyright disclaimer legal paywall".split()
 )
+#: First and last words of names that tell a page's state rather than what an element is.
+STATE_FIRST = frozenset("has no not with without".split())
+STATE_LAST = frozenset("open opened closed collapsed expanded enabled disabled".split())
 OUTSIDE_MAIN = frozenset({"header", "site-header", "banner"})
 
 TAG = re.compile(
@@ -90,6 +93,10 @@ class Block:
     boilerplate: bool
     heading: bool
     code: bool = False
+    #: Numbers of the elements around it that only their names mark, outermost first.
+    named: tuple[int, ...] = ()
+    #: How many of them are outside the outermost article.
+    outside: int = 0
     label: bool | None = None
 
 
@@ -99,21 +106,28 @@ class _Open:
     boilerplate: bool
     main: bool
     section: int
+    named: tuple[int, ...] = ()
+    outside: int = 0
 
 
-def _marks_boilerplate(name: str, attrs: str, in_main: bool) -> bool:
+def _marks_boilerplate(name: str, attrs: str, in_main: bool) -> str:
+    """What marks the element: "is" for itself, "name" for a name only, nothing else."""
     if name in BOILERPLATE or (name == "header" and not in_main):
-        return True
+        return "is"
     if not attrs.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return ""
     found = {k.lower(): (a or b or c or "") for k, a, b, c in ATTRIBUTE.findall(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+        return "is"
     if "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
+        return "is"
     named = " ".join(found.get(k, "") for k in ("class", "id", "role"))
-    words = {w.lower() for w in _NAME.findall(named)}
-    return bool(words & NAMES) or (not in_main and bool(words & OUTSIDE_MAIN))
+    words = set()
+    for one in named.split():
+        parts = [w.lower() for w in _NAME.findall(one)]
+        if len(parts) < 2 or not (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+            words.update(parts)
+    return "name" if words & NAMES or (not in_main and words & OUTSIDE_MAIN) else ""
 
 
 @dataclass
@@ -135,7 +149,7 @@ class _Cutter:
                 heading = any(e.name in HEADINGS for e in self.stack[-3:])
                 code = any(e.name == "pre" for e in self.stack)
                 self.blocks.append(
-                    Block(whole, linked, top.section, top.main, top.boilerplate, heading, code)
+                    Block(whole, linked, top.section, top.main, top.boilerplate, heading, code, top.named, top.outside)
                 )
             self.pieces = []
 
@@ -171,7 +185,9 @@ class _Cutter:
             section = self.sections
         else:
             section = top.section
-        self.stack.append(_Open(name, top.boilerplate or marked, main, section))
+        named = (*top.named, section) if marked == "name" else top.named
+        outside = top.outside if top.main else len(named)
+        self.stack.append(_Open(name, top.boilerplate or marked == "is", main, section, named, outside))
 
     def end(self, name: str) -> None:
         if name == "a":
@@ -272,9 +288,34 @@ def _second_pass(blocks: list[Block]) -> None:
             block.label = True if best is None else blocks[best].label
 
 
+def _mark_named(blocks: list[Block]) -> None:
+    """Mark blocks under boilerplate names, leaving out names around what must be the text.
+
+    Names outside all of a page's articles don't count for those, and where every block is under
+    a name, that around most of the text doesn't, if it holds several blocks.
+    """
+    plain = [b for b in blocks if not b.boilerplate]
+    main = [b for b in plain if b.main]
+    if main and all(b.outside for b in main):
+        for b in main:
+            b.named = b.named[b.outside :]
+    while plain and all(b.named for b in plain):
+        held: dict[int, list[Block]] = {}
+        for b in plain:
+            held.setdefault(b.named[0], []).append(b)
+        most = max(held.values(), key=lambda bs: sum(len(b.text) for b in bs))
+        if len(most) < 2:
+            break
+        for b in most:
+            b.named = b.named[1:]
+    for b in plain:
+        b.boilerplate = bool(b.named)
+
+
 def main_text(page: str | None) -> str:
     """The blocks of main text, each with single spaces, joined by two line breaks."""
     blocks = cut(page or "")
+    _mark_named(blocks)
     for block in blocks:
         block.label = _first_pass(block)
     _fall_back(blocks)

@@ -84,3 +84,16 @@ def test_other_languages_and_code_outside_articles():
 def test_long_blocks_rather_than_short_ones_where_none_is_decided():
     names = "Widgets Gadgets Gizmos Contraptions Devices Machines Tools Engines Parts Spares Offers Deals"
     assert names in main_text(f"<div>{names}</div><div>Short</div>")
+
+
+def test_names_round_the_whole_page():
+    line = LONG.strip()
+    want = f"Head\n\n{line}"
+    inner = f"<h1>Head</h1><p>{LONG}</p>"
+    ad = f"<div class=ad>{LONG}</div>"
+    for names in ("class='layout has-sidebar'", "id='page' class='no-ads'", "class=nav-open", "class='sidebar layout'"):
+        assert main_text(f"<div {names}><article>{inner}{ad}</article><footer>x</footer></div>") == want
+        assert main_text(f"<div {names}><div>{inner}</div>{ad}</div>") == want
+    assert main_text(f"<main>{inner}</main><div class=related><article>{inner}</article></div>") == want
+    assert main_text(f"<aside><article>{inner}</article></aside>") == ""
+    assert main_text(f"<div hidden><article>{inner}</article></div>") == ""
