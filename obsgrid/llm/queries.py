@@ -9,6 +9,7 @@ from obsgrid.llm import (  # noqa: F401
     licenses,
     mixing,
     simhash,
+    spelling,
     toxicity,
     warc,
 )
