@@ -8,6 +8,7 @@ from obsgrid.llm import (  # noqa: F401
     lattice,
     licenses,
     mixing,
+    packing,
     periods,
     simhash,
     spelling,
