@@ -19,6 +19,7 @@ distinct chunk between white space is encoded once and looked up after that.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import sys
 import types
@@ -50,12 +51,13 @@ STRIDE = 32
 HORIZON = 1 << 18
 MARGIN = 4 * WINDOW
 #: Chunks that a worker keeps, and bytes of a text that are split at a time.
-KNOWN = 400_000
+KNOWN = 1_500_000
 SLICE = 1 << 20
 
-_SENTENCE = re.compile(rb"(?:(?<=[.!?])|(?<=[.!?][\"')\]]))[\x20\x09-\x0D]+")
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_CORE = re.compile(rb"(.*[0-9a-z])([.,;:!?]+)", re.DOTALL)
+_MARKS = b".,;:!?"
+#: Bytes that end a sentence, and those that may close it after them; by byte.
+_STOPS, _CLOSERS, _BLANK = (np.isin(np.arange(256), list(x)) for x in (b".!?", b"\"')]", b" \t\n\x0b\x0c\r"))
 
 
 class Coder:
@@ -63,8 +65,6 @@ class Coder:
 
     def __init__(self, vocabulary: str):
         self.library = Tokenizer.from_str(vocabulary)
-        size = self.library.get_vocab_size()
-        self.ends = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         # Texts that hold one of these are left to the library whole.
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
@@ -75,35 +75,32 @@ class Coder:
         return np.array(found.ids, "<u4")
 
     def _learn_cores(self, cores: list[bytes]) -> None:
-        """Words of letters alone go to the library many at a time; each is one word to it, and
-        its ids end with one that closes a word."""
-        words = []
-        for core in cores:
-            text = core.decode("utf-8")
-            if text.isalpha() and max(text) < "̀":
-                words.append(core)
-            else:
-                self.cores[core] = self._whole(core).tobytes()
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            ids = self._whole(b" ".join(some))
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(some):
-                parts = np.split(ids, stops[:-1])
-            else:
-                parts = [self._whole(w) for w in some]
-            self.cores.update((w, p.tobytes()) for w, p in zip(some, parts))
-
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self.known) + len(chunks) > KNOWN:
-            self.known = {}
-        fresh = chunks.difference(self.known)
+        """Cores go to the library many at a time; the place of an id's first character tells
+        whose it is."""
+        for at in range(0, len(cores), 1000):
+            texts = [core.decode("utf-8") for core in cores[at : at + 1000]]
+            found = self.library.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            firsts = [first for first, _ in found.offsets]
+            cuts = np.searchsorted(np.array(firsts, np.int64), starts)
+            data = np.array(found.ids, "<u4").tobytes()
+            spans = zip(cuts[:-1].tolist(), cuts[1:].tolist())
+            self.cores.update((c, data[4 * i : 4 * j]) for c, (i, j) in zip(cores[at : at + 1000], spans))
+
+    def learn(self, chunks: list[bytes]) -> None:
+        """Have the ids of all these chunks at hand."""
+        fresh = set(itertools.filterfalse(self.known.__contains__, chunks))
+        if len(self.known) + len(fresh) > KNOWN:
+            self.known, fresh = {}, set(chunks)
         halves = {}
         for chunk in fresh:
             # The library lower-cases too. Punctuation after a letter or digit is a word of its own.
             low = chunk.lower()
-            cut = _CORE.fullmatch(low)
-            halves[chunk] = cut.groups() if cut else (low, b"")
+            core = low.rstrip(_MARKS)
+            if core is low or not core[-1:].isalnum():
+                halves[chunk] = low, b""
+            else:
+                halves[chunk] = core, low[len(core) :]
         cores = {half for pair in halves.values() for half in pair if half}
         if len(self.cores) + len(cores) > KNOWN:
             self.cores = {}
@@ -128,12 +125,28 @@ class Coder:
         if any(s in data.lower() for s in self.special):
             ids = self._whole(data)
             return ids.tobytes(), np.array([len(ids)])
-        out = []
+        out, ends, before = [], [], 0
         for part in self._slices(data):
-            sentences = [s.split() for s in _SENTENCE.split(part)]
-            self.learn(set().union(*sentences))
-            out += [b"".join(map(self.known.__getitem__, s)) for s in sentences]
-        return b"".join(out), np.cumsum([len(x) // 4 for x in out])
+            chunks = part.split()
+            try:
+                found = list(map(self.known.__getitem__, chunks))
+            except KeyError:
+                self.learn(chunks)
+                found = list(map(self.known.__getitem__, chunks))
+            out += found
+            stops = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4 + before
+            ends.append(stops[_ends_sentence(part)])
+            before = int(stops[-1]) if len(stops) else before
+        return b"".join(out), np.concatenate([*ends, [before]])
+
+
+def _ends_sentence(part: bytes) -> np.ndarray:
+    """Of each chunk whether a sentence ends with it."""
+    text = np.frombuffer(b"  " + part + b" ", np.uint8)
+    blank = _BLANK[text]
+    last = np.flatnonzero(blank[1:] & ~blank[:-1])
+    final = text[last]
+    return _STOPS[final] | (_CLOSERS[final] & _STOPS[text[last - 1]])
 
 
 def _coder(vocabulary: str) -> Coder:
@@ -147,22 +160,39 @@ def _coder(vocabulary: str) -> Coder:
 
 def places(size: int, sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a document of so many ids may be cut, its end included, and the penalties."""
-    ends = np.unique(np.concatenate([sentences[(sentences > 0) & (sentences < size)], [size]]))
-    starts = np.concatenate([[0], ends[:-1]])
-    inner = [np.arange(a + STRIDE, b, STRIDE) for a, b in zip(starts, ends) if b - a > STRIDE]
-    inside = np.concatenate([np.zeros(0, np.int64), *inner])
-    at = np.concatenate([ends, inside])
-    cost = np.concatenate([np.where(ends == size, 0, SENTENCE), np.full(len(inside), BREAK)])
-    order = np.argsort(at)
-    return at[order], cost[order]
+    ends = np.append(sentences[(sentences > 0) & (sentences < size)], size)
+    gaps = np.diff(ends, prepend=0)
+    ends, gaps = ends[gaps > 0], gaps[gaps > 0]
+    more = (gaps - 1) // STRIDE
+    if not more.any():
+        return ends, np.where(ends == size, 0, SENTENCE)
+    # Each end after the places inside its sentence.
+    turn = np.arange(len(ends) + more.sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+    inside = turn < np.repeat(more, more + 1)
+    at = np.where(inside, np.repeat(ends - gaps, more + 1) + (turn + 1) * STRIDE, np.repeat(ends, more + 1))
+    return at, np.where(inside, BREAK, np.where(at == size, 0, SENTENCE))
+
+
+def _unpadded(at: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """Pairs of places (later, earlier) that are a power of two apart, later ones ascending."""
+    later, earlier = [], []
+    for power in (1 << k for k in range(window.bit_length())):
+        found = np.minimum(np.searchsorted(at, at - power), len(at) - 1)
+        hit = np.flatnonzero(at[found] == at - power)
+        later.append(hit)
+        earlier.append(found[hit])
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    order = np.argsort(later, kind="stable")
+    return later[order].tolist(), earlier[order].tolist()
 
 
 def cuts(at: list[int], penalty: list[int], window: int = WINDOW) -> list[int]:
     """Indices of the places at which the cheapest windows end, the last place included. The
-    places ascend from 0, which is the start, in steps of at most a window."""
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    index = {p: i for i, p in enumerate(at)}
-    best, came = [0] * len(at), [0] * len(at)
+    places ascend from 0, which is the start, in steps of at most a window; the window is a power
+    of two."""
+    later, earlier = _unpadded(np.array(at), window)
+    later.append(len(at))
+    best, came, hit = [0] * len(at), [0] * len(at), 0
     # The queue: places in reach by ascending (cost + place), each earlier than the ones after it.
     waiting, values, head = [], [], 0
     for j in range(1, len(at)):
@@ -175,10 +205,11 @@ def cuts(at: list[int], penalty: list[int], window: int = WINDOW) -> list[int]:
         while at[waiting[head]] < place - window:
             head += 1
         cost, source = values[head] + window - place, waiting[head]
-        for power in powers:
-            i = index.get(place - power)
-            if i is not None and best[i] < cost:
+        while later[hit] == j:
+            i = earlier[hit]
+            if best[i] < cost:
                 cost, source = best[i], i
+            hit += 1
         best[j], came[j] = cost + penalty[j] + SEQUENCE, source
     out, j = [], len(at) - 1
     while j:
@@ -261,7 +292,12 @@ def _in_tasks(vocabulary: str, with_ids: bool, end_id: int, window: int):
         coder = _coder(vocabulary)
         packer = Packer(TaskContext.get().partitionId() << 40, with_ids, window)
         for rows in batches:
-            for doc_id, text in zip(rows["doc_id"], rows["text"]):
+            ends = rows["text"].str.len().cumsum() // SLICE
+            for at, (doc_id, text) in enumerate(zip(rows["doc_id"], rows["text"])):
+                if at == 0 or ends[at] > ends[at - 1]:
+                    # The chunks of the next texts, up to a slice's worth, are learned together.
+                    some = rows["text"][(ends == ends[at]) & (rows["text"].str.len() <= SLICE)]
+                    coder.learn(" ".join(some).encode("utf-8", "replace").split())
                 ids, sentences = coder.encode(text)
                 doc_id = None if doc_id is None else int(doc_id)
                 yield from map(frame, packer.add(doc_id, ids + end, sentences))
