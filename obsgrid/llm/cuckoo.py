@@ -29,7 +29,9 @@ KICKS = 200
 FIRST_BUCKETS = 1 << 10
 #: Distinct digests after which a task passes its folded rows on and starts afresh.
 FLUSH = 200_000
-#: Shards of the index; by default those of the session's shuffles.
+#: Stands for a missing doc_id, below every other.
+NO_ID = -(1 << 63)
+#: Columns of the stored keys.
 KEYS = "digest binary, keep_id long, copies long"
 
 
@@ -149,9 +151,9 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, digest) of every row that has a doc_id; a null text counts as empty."""
-    return docs.where(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).cast("long").alias("doc_id"),
+    """(doc_id, digest) of every row; a null doc_id becomes ``NO_ID``, a null text counts as empty."""
+    return docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.unhex(F.sha2(text_or_empty(text), 256)).alias("digest"),
     )
 
@@ -205,15 +207,16 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row.
 
     Of equal texts the largest doc_id stays. Null texts equal empty ones. Rows without a
-    doc_id are left out; a doc_id that occurs in several rows counts each of them in
-    group_size and gives as many rows. An empty table gives no rows; other columns are not
-    looked at.
+    doc_id stand below all others; where no row of a text has one, keep_id is null and they are
+    kept. A doc_id that occurs in several rows counts each of them in group_size and gives as many
+    rows. An empty table gives no rows; other columns are not looked at.
     """
     rows = written(digests(docs, doc_id, text), "digests")
     keys = build(rows)
+    named = lambda name: F.when(F.col(name) != NO_ID, F.col(name)).alias(name)
     return rows.join(keys, "digest").select(
-        "doc_id",
-        "keep_id",
+        named("doc_id"),
+        named("keep_id"),
         F.col("copies").alias("group_size"),
         (F.col("doc_id") == F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),

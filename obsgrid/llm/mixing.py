@@ -4,8 +4,9 @@ Every source gets a share of all words by its weight, up to ``REPEATS`` times it
 is above is dealt to the others by weight. A source's budget is whole passes over its documents
 plus a rest, and the rest is fitted to the word: documents are counted by exact length, most of
 the rest is taken from all lengths in proportion, and bounded-knapsack dynamic programming over
-the remaining counts fills what is then left. The counts by length are turned into documents by
-a seeded order.
+the remaining counts fills what is then left. Where that misses the budget, the knapsack chooses
+among all copies, up to ``REPEATS`` of each document, instead. The counts by length are turned into
+documents by a seeded order.
 
 Only counts reach a source's group: one row per distinct length. The documents of one source and
 length are ranked in buckets, so a length that a third of all rows share is no single task.
@@ -35,15 +36,19 @@ WIDEST = 1 << 21
 
 
 def sizes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    seeded_by: str | None = None,
 ) -> DataFrame:
     """(doc_id, key, size, order): key is the source in code point order with null last, size in
-    words, order a seeded hash of the id."""
-    return docs.where(F.col(doc_id).isNotNull()).select(
+    words, order a seeded hash of ``seeded_by`` (the id by default) and the text."""
+    return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("~")).alias("key"),
         F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long").alias("size"),
-        F.xxhash64(F.lit(SEED), F.col(doc_id).cast("long")).alias("order"),
+        F.xxhash64(F.lit(SEED), F.col(seeded_by or doc_id), text_or_empty(text)).alias("order"),
     )
 
 
@@ -89,8 +94,27 @@ def _residual(longest: int) -> int:
 
 
 def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take so that their words come as near to ``budget`` as the
-    dynamic programming can bring them, never above it. Lengths are positive and ascending."""
+    """How many copies of each length to take, up to ``REPEATS`` of each document, so that their
+    words come as near to ``budget`` as the dynamic programming can bring them, on either side.
+    Lengths are positive and ascending.
+
+    Whole passes over all documents with some of them once more are tried first, since they spread
+    the words over the most documents. Where they miss the budget, the copies are chosen freely.
+    """
+    size = int((lengths * counts).sum())
+    if budget >= REPEATS * size:
+        return REPEATS * counts
+    passes, rest = divmod(max(0, budget), size)
+    even = passes * counts + _fit(lengths, counts, rest)
+    gap = abs(int((lengths * even).sum()) - budget)
+    if not gap:
+        return even
+    free = _fit(lengths, REPEATS * counts, budget)
+    return free if abs(int((lengths * free).sum()) - budget) < gap else even
+
+
+def _fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """The same with ``counts`` copies of each length at hand."""
     take = np.zeros(len(lengths), np.int64)
     total = int((lengths * counts).sum())
     if budget >= total:
@@ -98,8 +122,9 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     if budget <= 0:
         return take
     # In proportion, leaving about half a residual's worth of words to choose from. No length that
-    # fits is above half a residual, so every one can still be taken.
-    residual = _residual(int(lengths[lengths <= budget].max(initial=0)))
+    # may be taken is above half a residual, so every one still can be.
+    near = lengths[lengths <= 2 * budget]
+    residual = _residual(int(near.max(initial=0)))
     share = max(0.0, (budget - residual / 2) / total)
     take = np.floor(counts * share).astype(np.int64)
     left = budget - int((lengths * take).sum())
@@ -113,27 +138,32 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded subset sum: for every reachable sum, the length that reached it first and the
-    number of its copies used, so the choice is read back from the largest sum."""
+    """Bounded subset sum: for every reachable sum, the length that reached it first, so the
+    choice is read back from the sum nearest to the budget. A sum of more than twice the budget is
+    farther off than none at all."""
     took = np.zeros(len(lengths), np.int64)
-    by = np.full(budget + 1, -1, np.int32)
-    reached = np.zeros(budget + 1, bool)
+    # Sums above the budget are of use only up to the first one by the longest length.
+    longest = int(lengths[(counts > 0) & (lengths <= 2 * budget)].max(initial=0))
+    top = budget + min(budget, longest)
+    by = np.full(top + 1, -1, np.int32)
+    reached = np.zeros(top + 1, bool)
     reached[0] = True
     for i in np.argsort(-lengths, kind="stable"):
         length, copies = int(lengths[i]), int(counts[i])
-        if length > budget or not copies or reached[budget]:
+        if length > top or not copies or reached[budget]:
             continue
         # Sums in steps of the length as columns: how far above the last reached one each lies.
-        steps = -(-(budget + 1) // length)
+        steps = -(-(top + 1) // length)
         grid = np.zeros(steps * length, bool)
-        grid[: budget + 1] = reached
+        grid[: top + 1] = reached
         rows = np.arange(steps, dtype=np.int32)[:, None]
         last = np.where(grid.reshape(steps, length), rows, np.int32(-1))
         np.maximum.accumulate(last, axis=0, out=last)
-        fresh = ((last >= 0) & (rows - last <= copies)).reshape(-1)[: budget + 1] & ~reached
+        fresh = ((last >= 0) & (rows - last <= copies)).reshape(-1)[: top + 1] & ~reached
         by[fresh] = i
         reached |= fresh
-    at = int(np.flatnonzero(reached)[-1])
+    sums = np.flatnonzero(reached)
+    at = int(sums[np.argmin(np.abs(sums - budget))])
     while at:
         took[by[at]] += 1
         at -= int(lengths[by[at]])
@@ -141,16 +171,14 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
 
 
 def _plan(rows: pd.DataFrame) -> pd.DataFrame:
-    """For one source: the whole passes over its documents, and how many of each length are
-    taken once more."""
+    """For one source: how often every document of a length is taken, and how many of them once
+    more."""
     rows = rows[rows["size"] > 0].sort_values("size")
     out = rows[["key", "size", "n", "source_size", "target"]].assign(passes=0, extra=0)
     if len(rows):
-        size = int(rows["source_size"].iloc[0])
-        budget = min(int(round(float(rows["target"].iloc[0]))), REPEATS * size)
-        passes, rest = divmod(budget, size)
-        out["passes"] = passes
-        out["extra"] = fill(rows["size"].to_numpy(), rows["n"].to_numpy(), rest)
+        counts = rows["n"].to_numpy()
+        copies = fill(rows["size"].to_numpy(), counts, int(round(float(rows["target"].iloc[0]))))
+        out["passes"], out["extra"] = copies // counts, copies % counts
     return out
 
 
@@ -163,15 +191,16 @@ def mix(
     text: str = "text",
     source: str = "source",
     weights: tuple = WEIGHTS,
+    seeded_by: str | None = None,
 ) -> DataFrame:
     """(doc_id, size, source_size, target, taken, times) of every row.
 
     taken is size times the number of times that the mix takes the document; one without words
-    costs nothing and is taken once. Null texts have size 0. Rows without a doc_id are left out;
-    rows that repeat a doc_id are documents of their own. An empty table gives no rows; other
-    columns are not looked at.
+    costs nothing and is taken once. Null texts have size 0. Ids come as they are, null ones too;
+    rows that repeat one are documents of their own. An empty table gives no rows; other columns
+    are not looked at.
     """
-    sized = written(sizes(docs, doc_id, text, source), "sizes")
+    sized = written(sizes(docs, doc_id, text, source, seeded_by), "sizes")
     goals = written(targets(sized, weights), "targets")
     lengths = sized.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n"))
     plan = written(
