@@ -6,8 +6,8 @@ import corpus_pipeline
 import pytest
 import tiktoken
 from llm_helpers import CLASHING, awkward, nothing
+from test_jaccard import brute as near_copies
 from test_mixing import poured
-from test_simhash import brute as near_copies
 from test_toxicity import labelled
 
 import public_tokenizers
@@ -70,9 +70,11 @@ def test_one_of_each_copy_stays(staged):
 def test_one_of_each_near_copy_stays(staged):
     _, frames = staged
     before = rows(frames["exact dedup"])
-    want = {i for i, _, group in near_copies(sorted(before.items())) if i == group}
+    want, linked = near_copies(sorted(before.items()))
     kept = set(rows(frames["simhash near-dedup"]))
-    assert kept == want and len(kept) < len(before)
+    # One of each group stays; a link that the index misses may leave one more.
+    assert kept >= {i for i, group in want.items() if i == group} and len(kept) < len(before)
+    assert len(before) - len(kept) >= 0.9 * (len(before) - len(set(want.values())))
     assert sum(i >= 2000 for i in before) == 6 and sum(i >= 2000 for i in kept) <= 1
 
 
@@ -120,6 +122,22 @@ def test_run(spark, staged):
     assert key(got) == key(frames["byte-level bpe"])
 
 
+def test_rows_go_by_id_and_text(spark, staged):
+    sf_dir, _ = staged
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = ["one two three four", "five six seven eight", "nine ten eleven twelve"]
+    ids = [(5, 0), (5, 1), (7, 1), (None, 2), (None, 0), (None, 2)]
+    docs = spark.createDataFrame([(i, texts[t], "en", "a", 9) for i, t in ids], schema)
+    deduplicated = written(corpus_pipeline.without_copies(spark, docs, sf_dir), "stage")
+    kept = [(5, texts[0]), (7, texts[1]), (None, texts[2])]
+    key = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+    assert key(deduplicated) == Counter(kept)
+    assert key(corpus_pipeline.without_near_copies(spark, docs, sf_dir)) == Counter([(5, texts[0]), (5, texts[1]), (None, texts[2])])
+    mixed = key(corpus_pipeline.mixed(spark, docs, sf_dir))
+    assert sum(mixed.values()) == 6 and set(mixed) <= {(i, texts[t]) for i, t in ids}
+    assert key(corpus_pipeline.without_toxic(spark, docs, sf_dir)) == Counter((i, texts[t]) for i, t in ids)
+
+
 def test_awkward_documents(spark, staged, tmp_path):
     sf_dir, _ = staged
     docs = awkward(spark).drop(*[c.split(" ")[0] for c in CLASHING.split(", ")])
