@@ -7,12 +7,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsgrid.operators.quality import fast_hash
 from obsgrid.plans import landing
 from obsgrid.plans.landing import BATCH, DAYS, FAULTS_SQL, PLAN_SQL
 from obsgrid.plans.registry import query
 from obsgrid.schema import DAILY_SCHEMA, MEASURE_NAMES
 from obsgrid.session import scratch_path
-from obsgrid.sources import payloads, tables
+from obsgrid.sources import payloads, snapshots, tables
 from obsgrid.sources.views import DAILY_COLUMNS, DAILY_SQL, catalogue, daily_obs, readings
 from obsgrid.streaming import ingest, refresh, workplan
 
@@ -138,13 +139,55 @@ def refresh_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base table on disk, new rows merged into the months they touch, published, read back."""
     daily = daily_obs(spark, sf_dir)
     root, staging = scratch_path(spark, "table"), scratch_path(spark, "staged")
-    tables.rebuild_daily(_base(daily), root)
+    snapshots.rebuild(spark, _base(daily), root)
     fresh = _corrected(daily)
-    touched = tables.read_daily(spark, root, months=tables.months_of(fresh))
+    touched = snapshots.read(spark, root, tables.months_of(fresh))
     merged = refresh.upsert(refresh.ranked(touched, 0), refresh.ranked(fresh, 1))
     merged.select(*NAMES).write.parquet(staging)
     refresh.publish(spark, spark.read.schema(DAILY_SCHEMA).parquet(staging), root)
-    return tables.read_daily(spark, root)
+    return snapshots.read(spark, root)
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The daily table merged in three batches, by place, the last with the true values of the
+    first."""
+    daily = daily_obs(spark, sf_dir)
+    turn = F.col("location_id") % 2
+    wrong = daily.where(turn == 0).withColumn("precipitation_sum", F.lit(-1.0))
+    for batch, rows in enumerate((wrong, daily.where(turn == 1), daily.where(turn == 0))):
+        ranked = rows.withColumn("batch_id", F.lit(batch).cast("long"))
+        snapshots.merge(spark, ranked, root, buckets=2)
+
+
+@query(f"WITH {DAILY_SQL} SELECT {DAILY_LIST} FROM daily_obs")
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches merged into the files that may hold their keys; small files joined afterwards."""
+    root = scratch_path(spark, "table")
+    _in_parts(spark, sf_dir, root)
+    snapshots.compact(spark, root, tables.TARGET_FILE_BYTES)
+    snapshots.expire(spark, root)
+    return snapshots.read(spark, root)
+
+
+@query(f"""WITH {DAILY_SQL} SELECT year, CAST(EXTRACT(MONTH FROM date) AS INTEGER) AS month, COUNT(*) AS rows,
+  TRUE AS recounted FROM daily_obs GROUP BY ALL""")
+def digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the months by the table's file list, held against a count of the rows."""
+    root = scratch_path(spark, "table")
+    _in_parts(spark, sf_dir, root)
+    listed = snapshots.digest(spark, root, "year", "month")
+    hashed = daily_obs(spark, sf_dir).select(
+        "year", F.month("date").alias("month"), fast_hash(sorted(NAMES)).alias("h")
+    )
+    counted = hashed.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.col("h").cast("decimal(38,0)")).cast("decimal(38,0)").alias("_sum"),
+        F.bit_xor("h").alias("_xor"),
+    )
+    same = (F.col("rows") == F.col("_rows")) & (F.col("hash_sum") == F.col("_sum"))
+    return listed.join(counted, ["year", "month"], "full").select(
+        "year", "month", "rows", F.coalesce(same & (F.col("hash_xor") == F.col("_xor")), F.lit(False)).alias("recounted")
+    )
 
 
 def _full_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +257,7 @@ def refresh_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
     run with bad data change nothing."""
     grid, places = _stored_grid(spark, sf_dir)
     root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
-    tables.rebuild_daily(grid.where(F.col("date") < "2000-12-28"), root)
+    snapshots.rebuild(spark, grid.where(F.col("date") < "2000-12-28"), root)
     fetch = _between(grid)
     bad = refresh.refresh(
         spark, root, state, date(2001, 1, 2),
@@ -227,7 +270,7 @@ def refresh_catchup(spark: SparkSession, sf_dir: str) -> DataFrame:
         outcome = refresh.refresh(spark, root, state, latest, fetch, places)
         if outcome.status != expected:
             raise AssertionError(f"expected {expected}: {outcome}")
-    return _yearly(tables.read_daily(spark, root))
+    return _yearly(snapshots.read(spark, root))
 
 
 @query(f"""WITH {DAILY_SQL} SELECT 'current' AS status, MAX(date) AS last_successful_date, COUNT(*) AS rows
@@ -235,8 +278,8 @@ FROM daily_obs""")
 def refresh_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing new: no fetch, the table untouched, the state saved again."""
     root, state = scratch_path(spark, "table"), scratch_path(spark, "state")
-    tables.rebuild_daily(daily_obs(spark, sf_dir), root)
-    table = tables.read_daily(spark, root)
+    snapshots.rebuild(spark, daily_obs(spark, sf_dir), root)
+    table = snapshots.read(spark, root)
 
     def no_fetch(start: date, end: date) -> DataFrame:
         raise AssertionError("nothing is missing, so nothing may be fetched")
@@ -313,7 +356,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload files streamed into the daily table."""
     root, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "stream")
     _ingest(spark, sf_dir, landing.array_files(spark, sf_dir), root, checkpoint)
-    return tables.read_daily(spark, root)
+    return snapshots.read(spark, root)
 
 
 @query(f"""WITH {DAILY_SQL} SELECT {', '.join('precipitation_sum + 1000 AS precipitation_sum'
@@ -325,4 +368,4 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     _ingest(spark, sf_dir, raw, root, checkpoint)
     landing.write_texts(landing.corrections(spark, sf_dir, 1000.0), raw, mode="append")
     _ingest(spark, sf_dir, raw, root, checkpoint)
-    return tables.read_daily(spark, root)
+    return snapshots.read(spark, root)

@@ -13,7 +13,7 @@ from helpers import START, as_set, daily, grid, places, row
 from obsgrid.operators.quality import same_content
 from obsgrid.schema import MEASURES
 from obsgrid.session import scratch_path
-from obsgrid.sources import payloads, tables
+from obsgrid.sources import payloads, snapshots, tables
 from obsgrid.streaming import ingest, refresh, workplan
 
 AS_OF = START + timedelta(days=9)
@@ -47,7 +47,7 @@ def test_upsert_does_not_depend_on_order(spark, seed):
 
 def _stored(spark, rows):
     root = scratch_path(spark, "t")
-    tables.rebuild_daily(daily(spark, rows), root)
+    snapshots.rebuild(spark, daily(spark, rows), root)
     return root
 
 
@@ -63,8 +63,9 @@ def test_catch_up_across_the_end_of_a_year(spark):
     outcome = refresh.refresh(spark, root, state, AS_OF, fetch, 3)
     assert (outcome.status, outcome.days, outcome.rows) == ("updated", 6, 18)
     assert calls == [(START + timedelta(days=3), START + timedelta(days=8))]
-    assert same_content(tables.read_daily(spark, root), daily(spark, everything))
-    assert sorted(d for d in os.listdir(root) if d.startswith("year")) == ["year=2025", "year=2026"]
+    assert same_content(snapshots.read(spark, root), daily(spark, everything))
+    years = snapshots.files(spark, root).select("year").distinct()
+    assert sorted(r["year"] for r in years.collect()) == [2025, 2026]
     assert refresh.read_state(spark, state) == AS_OF - timedelta(days=1)
 
     again = refresh.refresh(spark, root, state, AS_OF, fetch, 3)
@@ -83,7 +84,7 @@ def test_a_broken_batch_changes_nothing(spark):
         outcome = refresh.refresh(spark, root, state, AS_OF, fetch, 3)
         assert outcome.status == "rejected" and rule in outcome.failed_rules
     assert sorted(os.listdir(root)) == before
-    assert same_content(tables.read_daily(spark, root), daily(spark, grid(3, 3)))
+    assert same_content(snapshots.read(spark, root), daily(spark, grid(3, 3)))
     assert refresh.read_state(spark, state) is None
 
 
@@ -95,10 +96,10 @@ def test_the_running_day_is_never_ingested(spark):
 
 def test_publish_skips_unchanged_years(spark):
     root = _stored(spark, grid(2, 6))
-    assert refresh.publish(spark, tables.read_daily(spark, root), root) is False
+    assert refresh.publish(spark, snapshots.read(spark, root), root) is False
     changed = daily(spark, grid(2, 6, elevation=9.0))
     assert refresh.publish(spark, changed, root) is True
-    assert same_content(tables.read_daily(spark, root), changed)
+    assert same_content(snapshots.read(spark, root), changed)
 
 
 def test_resume_decisions(spark):
@@ -151,7 +152,7 @@ def test_stream_of_named_files(spark, tmp_path):
     (raw / "notes.json").write_text("[]")
     (raw / "batch_0009__2024-12-31__2025-01-01.json").write_text("{broken")
     run()
-    table = tables.read_daily(spark, root)
+    table = snapshots.read(spark, root)
     got = {(r["location_id"], str(r["date"]), r["precipitation_sum"]) for r in table.collect()}
     assert got == {(i, d, float(i)) for i in (1, 2, 3) for d in days}
     bad = spark.read.option("basePath", quarantine).parquet(quarantine)
@@ -165,7 +166,7 @@ def test_stream_of_named_files(spark, tmp_path):
         json.dumps([_location(["2025-01-01"], 50.0)])
     )
     run()
-    table = tables.read_daily(spark, root)
+    table = snapshots.read(spark, root)
     assert table.count() == 6
     assert {r["precipitation_sum"] for r in table.where("location_id = 3").collect()} == {3.0, 50.0}
 
@@ -179,7 +180,7 @@ def _run(spark, raw, numbered, batch_size=2, **options):
         )
         bad = spark.read.option("basePath", quarantine).parquet(quarantine).collect()
         reasons = {(os.path.basename(r["path"]), r["reason"], r["position"]) for r in bad}
-        rows = tables.read_daily(spark, root).select("location_id", F.col("date").cast("string")).collect()
+        rows = snapshots.read(spark, root).select("location_id", F.col("date").cast("string")).collect()
         units = {r["work_id"][:10]: (r["status"], r["error"]) for r in workplan.read_manifest(spark, manifest).collect()}
         return {tuple(r) for r in rows}, reasons, units
 
@@ -243,28 +244,27 @@ def test_a_null_that_moves_is_a_change(spark):
     right = daily(spark, [row(1, START, temperature_max=None, temperature_min=5.0)])
     assert not same_content(left, right)
     root = scratch_path(spark, "t")
-    tables.rebuild_daily(left, root)
+    snapshots.rebuild(spark, left, root)
     assert refresh.publish(spark, right, root) is True
-    assert same_content(tables.read_daily(spark, root), right)
+    assert same_content(snapshots.read(spark, root), right)
 
 
 def test_only_touched_months_are_rewritten(spark):
     root = _stored(spark, grid(3, 40))
     files = lambda: {
-        d: sorted(os.listdir(os.path.join(root, d))) for d in ("year=2025/month=12", "year=2026/month=1", "year=2026/month=2")
+        (m, r["path"]) for m in (12, 1, 2) for r in snapshots.files(spark, root).where(f"month = {m}").collect()
     }
     before = files()
     new = daily(spark, grid(3, 1, START + timedelta(days=10), elevation=9.0))
     ingest.merge_batch(new.withColumn("file_time", F.current_timestamp()), root, 1)
-    after = files()
-    assert [d for d in before if before[d] != after[d]] == ["year=2026/month=1"]
-    table = tables.read_daily(spark, root)
+    assert {m for m, _ in before ^ files()} == {1}
+    table = snapshots.read(spark, root)
     assert table.count() == 120 and table.where("elevation = 9").count() == 3
 
 
 def test_an_empty_table_fetches_from_the_first_day(spark):
     root, state = scratch_path(spark, "t"), scratch_path(spark, "s")
-    tables.rebuild_daily(daily(spark, grid(2, 1)).where("false"), root)
+    snapshots.rebuild(spark, daily(spark, grid(2, 1)).where("false"), root)
     calls = []
 
     def fetch(start, end):
@@ -275,17 +275,15 @@ def test_an_empty_table_fetches_from_the_first_day(spark):
         refresh.refresh(spark, root, state, AS_OF, fetch, 2)
     outcome = refresh.refresh(spark, root, state, AS_OF, fetch, 2, since=START)
     assert outcome.status == "updated" and calls == [(START, AS_OF - timedelta(days=1))]
-    assert tables.read_daily(spark, root).count() == 18
+    assert snapshots.read(spark, root).count() == 18
 
 
 def test_a_table_that_cannot_be_read_is_no_empty_table(spark, tmp_path):
-    root = tmp_path / "table"
-    (root / "year=2025" / "month=12").mkdir(parents=True)
-    (root / "year=2025" / "month=12" / "part-0.parquet").write_text("no parquet")
+    (tmp_path / "CURRENT").write_text("no pointer")
     new = daily(spark, grid(1, 1)).withColumn("file_time", F.current_timestamp())
-    with pytest.raises(Exception):
-        ingest.merge_batch(new, str(root), 1)
-    assert (root / "year=2025" / "month=12" / "part-0.parquet").read_text() == "no parquet"
+    with pytest.raises(ValueError):
+        ingest.merge_batch(new, str(tmp_path), 1)
+    assert (tmp_path / "CURRENT").read_text() == "no pointer"
 
 
 def test_file_listing_reads_no_contents(spark, tmp_path):
@@ -295,9 +293,11 @@ def test_file_listing_reads_no_contents(spark, tmp_path):
 
 
 def test_compaction_keeps_rows_and_follows_size(spark):
-    root, target = _stored(spark, grid(5, 40)), scratch_path(spark, "compact")
+    root, target = scratch_path(spark, "table"), scratch_path(spark, "compact")
+    rows = daily(spark, grid(5, 40))
+    tables.rebuild_daily(rows, root)
     assert tables.compact(spark, root, target) == 1
-    assert same_content(spark.read.parquet(target), tables.read_daily(spark, root))
+    assert same_content(spark.read.parquet(target), rows)
     many = scratch_path(spark, "compact")
     assert tables.compact(spark, root, many, target_file_bytes=2000) > 1
-    assert same_content(spark.read.parquet(many), tables.read_daily(spark, root))
+    assert same_content(spark.read.parquet(many), rows)
