@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,12 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from obsgrid.functions.labels import member_label
+from obsgrid.operators import kmeans
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
-#: Partitions that profiles are fitted in. K-Means depends on the layout, so this number does
-#: not follow the row count; raise it for very many places, and expect other clusters then.
-PARTITIONS = 8
-PARALLEL_TRIALS = 4
+PARALLEL_SCORES = 4
 
 # The tried settings.
 MAX_ITERATIONS = 100
@@ -31,59 +28,58 @@ FINAL_K = 4
 SEEDS = (42, 100, 2024, 777, 999)
 
 
-def stable_layout(profiles: DataFrame, partitions: int, key: str = "location_id") -> DataFrame:
-    """Same rows in the same partitions and order, whatever the input's layout.
-
-    K-Means starts from samples per partition, so its result would otherwise follow the
-    layout. The number of partitions is a parameter of its own.
-    """
-    return profiles.repartition(partitions, key).sortWithinPartitions(key)
-
-
-def vectors(
-    profiles: DataFrame,
-    columns: Sequence[str] = PROFILE_MEASURES,
-    partitions: int = PARTITIONS,
-) -> DataFrame:
-    """Assembled and standardised (sample deviation) vectors in a stable layout."""
-    laid_out = stable_layout(profiles, partitions)
+def vectors(profiles: DataFrame, columns: Sequence[str] = PROFILE_MEASURES) -> DataFrame:
+    """Assembled and standardised (sample deviation) vectors."""
     assembled = VectorAssembler(
         inputCols=list(columns), outputCol="raw", handleInvalid="error"
-    ).transform(laid_out)
+    ).transform(profiles)
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
     return scaler.fit(assembled).transform(assembled)
 
 
 @dataclass(frozen=True)
 class Fit:
-    """A fitted model with cluster ids ordered by their centres."""
+    """Centres of the clusters, whose ids 0..k-1 follow the centres' first coordinate, not the
+    order of discovery."""
 
-    model: KMeansModel
     k: int
     seed: int
     cost: float
-    order: tuple[int, ...]
+    sizes: tuple[int, ...]
+    found: tuple[tuple[float, ...], ...]
 
     def assign(self, frame: DataFrame) -> DataFrame:
-        """Ids 0..k-1 follow the centres' first coordinate, not the order of discovery."""
-        renumber = F.array(*[F.lit(self.order.index(i)) for i in range(len(self.order))])
-        assigned = self.model.transform(frame)
-        return assigned.withColumn(
-            "cluster_id", F.get(renumber, F.col("prediction")).cast("int")
-        ).drop("prediction")
+        point = vector_to_array("features")
+        gaps = [
+            F.struct(
+                sum((point[i] - F.lit(v)) * (point[i] - F.lit(v)) for i, v in enumerate(centre)).alias("gap"),
+                F.lit(number).alias("id"),
+            )
+            for number, centre in enumerate(self.found)
+        ]
+        return frame.withColumn("cluster_id", F.array_min(F.array(*gaps))["id"])
 
     def centres(self) -> list[list[float]]:
-        found = self.model.clusterCenters()
-        return [[float(x) for x in found[i]] for i in self.order]
+        return [list(c) for c in self.found]
+
+
+def fit_trials(
+    frame: DataFrame, trials: Sequence[tuple[int, int]], key: str = "location_id"
+) -> list[Fit]:
+    """Fits of all (k, seed), found together; the same for any layout of the rows."""
+    width = frame.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
+    width = width or len(frame.select("features").first()["features"])
+    found = kmeans.fit(
+        frame, key, vector_to_array("features"), width, trials, MAX_ITERATIONS, TOLERANCE
+    )
+    return [
+        Fit(t.k, t.seed, t.cost, t.sizes, tuple(tuple(map(float, c)) for c in t.centres))
+        for t in found
+    ]
 
 
 def fit_kmeans(frame: DataFrame, k: int, seed: int) -> Fit:
-    model = KMeans(
-        featuresCol="features", k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE
-    ).fit(frame)
-    centres = [tuple(float(x) for x in c) for c in model.clusterCenters()]
-    order = tuple(sorted(range(len(centres)), key=centres.__getitem__))
-    return Fit(model, k, seed, float(model.summary.trainingCost), order)
+    return fit_trials(frame, [(k, seed)])[0]
 
 
 def silhouette(assigned: DataFrame) -> float:
@@ -93,18 +89,9 @@ def silhouette(assigned: DataFrame) -> float:
 
 
 def _score(frame: DataFrame, fit: Fit) -> tuple:
-    # model.summary already counted the members of every cluster during fitting.
-    found = fit.model.summary.clusterSizes
-    sizes = [int(found[i]) for i in fit.order]
-    return (
-        fit.k,
-        fit.seed,
-        fit.cost,
-        float(silhouette(fit.assign(frame))),
-        min(sizes),
-        max(sizes),
-        sizes,
-    )
+    sizes = list(fit.sizes)
+    score = float(silhouette(fit.assign(frame)))
+    return (fit.k, fit.seed, fit.cost, score, min(sizes), max(sizes), sizes)
 
 
 SCORE_SCHEMA = (
@@ -114,9 +101,8 @@ SCORE_SCHEMA = (
 
 
 def _each(spark: SparkSession, trial: Callable, settings: Sequence) -> list:
-    """Independent trials side by side: each is a chain of short jobs that leaves most of a
-    cluster idle. Results keep the order of the settings."""
-    with ThreadPool(min(PARALLEL_TRIALS, len(settings))) as pool:
+    """Independent short jobs side by side. Results keep the order of the settings."""
+    with ThreadPool(min(PARALLEL_SCORES, len(settings))) as pool:
         return pool.map(inheritable_thread_target(spark)(trial), settings)
 
 
@@ -125,7 +111,8 @@ def sweep(frame: DataFrame, trials: Sequence[tuple[int, int]]) -> DataFrame:
     frame = frame.persist()
     try:
         frame.count()
-        rows = _each(frame.sparkSession, lambda t: _score(frame, fit_kmeans(frame, *t)), trials)
+        fits = fit_trials(frame, trials)
+        rows = _each(frame.sparkSession, lambda fit: _score(frame, fit), fits)
     finally:
         frame.unpersist()
     return frame.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
@@ -147,7 +134,7 @@ def best_fit(frame: DataFrame, k: int = FINAL_K, seeds: Sequence[int] = SEEDS) -
     try:
         frame.count()
         spark = frame.sparkSession
-        fits = _each(spark, lambda seed: fit_kmeans(frame, k, seed), seeds)
+        fits = fit_trials(frame, [(k, seed) for seed in seeds])
         scores = _each(spark, lambda fit: silhouette(fit.assign(frame)), fits)
     finally:
         frame.unpersist()

@@ -1,6 +1,6 @@
 """The nearest profiles of every place, exactly, without comparing all pairs.
 
-Space is cut into cells of about equal size. A place's own cell gives a distance within
+Space is cut into cells of at most a given number of profiles. A place's own cell gives a distance within
 which its neighbours must lie; only cells that reach into that distance are visited.
 """
 
@@ -17,32 +17,71 @@ from obsgrid.functions.columns import euclidean
 from obsgrid.session import scratch_path
 
 CELL_ROWS = 4096
-SAMPLE_PER_CELL = 64
-MAX_DEPTH = 15
-
-
-def _splits(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dimension and threshold of every inner node, each halving its part of the sample."""
-    inner = 2**depth - 1
-    dimensions, thresholds = np.zeros(inner, dtype=np.int64), np.zeros(inner)
-    parts = [sample]
-    for node in range(inner):
-        part = parts[node]
-        if len(part):
-            d = int(np.argmax(part.max(axis=0) - part.min(axis=0)))
-            dimensions[node], thresholds[node] = d, np.median(part[:, d])
-        right = part[:, dimensions[node]] > thresholds[node]
-        parts += [part[~right], part[right]]
-    return dimensions, thresholds
-
-
-def _cells(points: np.ndarray, dimensions: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
-    node = np.zeros(len(points), dtype=np.int64)
-    rows = np.arange(len(points))
-    inner = len(dimensions)
-    while inner and node.size and node[0] < inner:
-        node = 2 * node + 1 + (points[rows, dimensions[node]] > thresholds[node])
-    return node - inner
+#: Accuracy of the medians that cut cells; it decides how even cells are, never what is found.
+MEDIAN_ACCURACY = 1000
+
+
+class Cuts:
+    """A binary tree of cuts: an inner node has a dimension, a threshold and two children, a leaf
+    is a cell. There is about one node per ``CELL_ROWS`` / 2 sites."""
+
+    def __init__(self):
+        self.dimension, self.threshold, self.left, self.right = [-1], [0.0], [0], [0]
+
+    def cells(self, points: np.ndarray) -> np.ndarray:
+        dimension, threshold = np.array(self.dimension), np.array(self.threshold)
+        left, right = np.array(self.left), np.array(self.right)
+        node = np.zeros(len(points), np.int64)
+        going = np.arange(len(points))
+        while True:
+            going = going[dimension[node[going]] >= 0]
+            if not len(going):
+                return node
+            at = node[going]
+            beyond = points[going, dimension[at]] > threshold[at]
+            node[going] = np.where(beyond, right[at], left[at])
+
+    def split(self, cell: int, dimension: int, threshold: float) -> None:
+        self.dimension[cell], self.threshold[cell] = dimension, threshold
+        self.left[cell], self.right[cell] = len(self.left), len(self.left) + 1
+        self.dimension += [-1, -1]
+        self.threshold += [0.0, 0.0]
+        self.left += [0, 0]
+        self.right += [0, 0]
+
+
+def _cell_of(cuts: Cuts):
+    @F.pandas_udf("long")
+    def cell_of(*values: pd.Series) -> pd.Series:
+        return pd.Series(cuts.cells(np.column_stack([v.to_numpy(dtype=float) for v in values])))
+
+    return cell_of
+
+
+def place_cuts(sites: DataFrame, axes: Sequence[str], cell_rows: int) -> Cuts:
+    """Cut cells until none holds more than ``cell_rows`` sites, all of a level at once: every cell
+    is cut at the median of its widest axis, from one aggregate over the sites. Sites differ from
+    each other, so a cell can always be cut."""
+    cuts = Cuts()
+    ranges = [f(a).alias(f"{e}_{a}") for a in axes for e, f in (("low", F.min), ("high", F.max))]
+    medians = [F.percentile_approx(a, 0.5, MEDIAN_ACCURACY).alias(f"mid_{a}") for a in axes]
+    while True:
+        celled = sites.select(_cell_of(cuts)(*axes).alias("cell"), *axes)
+        large = (
+            celled.groupBy("cell")
+            .agg(F.count(F.lit(1)).alias("n"), *ranges, *medians)
+            .where(F.col("n") > cell_rows)
+            .collect()
+        )
+        if not large:
+            return cuts
+        for row in large:
+            widths = [row[f"high_{a}"] - row[f"low_{a}"] for a in axes]
+            d = max(range(len(axes)), key=widths.__getitem__)
+            low, mid, high = (row[f"{e}_{axes[d]}"] for e in ("low", "mid", "high"))
+            # What lies above the threshold is never nothing.
+            threshold = mid if mid < high else low + (high - low) / 2
+            cuts.split(row["cell"], d, threshold if threshold < high else low)
 
 
 def _distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -62,7 +101,8 @@ def _blocks(n: int, width: int) -> Iterator[slice]:
 
 def _in_parts(visitors: DataFrame, celled: DataFrame, cell_rows: int):
     """Visitors and members of each cell as groups to be searched together. A cell with very
-    many visitors is searched in several tasks, each with a copy of its members."""
+    many visitors is searched in several tasks, each with a copy of its members, which are no more
+    than ``cell_rows`` sites with n + 1 places each."""
     # At most one row per cell.
     crowds = F.broadcast(
         visitors.groupBy("cell").agg(
@@ -110,26 +150,14 @@ def nearest_all(
     candidates = spark.read.parquet(stored)
 
     sites = candidates.where(F.col("twin") == 1)
-    count = sites.count()
-    depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(count, 1) / cell_rows)))))
-    wanted = SAMPLE_PER_CELL * 2**depth
-    # A bounded sample places the cuts; every row is then assigned by them.
-    sample = sites.select(*axes)
-    if count > wanted:
-        sample = sample.sample(min(1.0, 1.2 * wanted / count), seed=7).limit(2 * wanted)
-    dimensions, thresholds = _splits(sample.toPandas().to_numpy(dtype=float), depth)
-
-    @F.pandas_udf("long")
-    def cell_of(*values: pd.Series) -> pd.Series:
-        points = np.column_stack([v.to_numpy(dtype=float) for v in values])
-        return pd.Series(_cells(points, dimensions, thresholds))
+    cuts = place_cuts(sites, axes, cell_rows)
 
     celled_path = scratch_path(spark, "neighbour-cells")
-    candidates.withColumn("cell", cell_of(*axes)).write.parquet(celled_path)
+    candidates.withColumn("cell", _cell_of(cuts)(*axes)).write.parquet(celled_path)
     celled = spark.read.parquet(celled_path)
 
     corners = [f(a).alias(f"{e}_{a}") for a in axes for e, f in (("low", F.min), ("high", F.max))]
-    # At most 2 ** MAX_DEPTH boxes.
+    # A box per cell: their number follows the sites by a factor of about CELL_ROWS.
     boxes = celled.groupBy("cell").agg(*corners).toPandas()
     names = boxes["cell"].to_numpy()
     low = boxes[[f"low_{a}" for a in axes]].to_numpy(dtype=float)

@@ -26,7 +26,7 @@ def profiles(spark):
 def test_assignments_do_not_follow_the_input_layout(spark, profiles):
     seen = set()
     for layout in (profiles, profiles.repartition(5), profiles.orderBy(F.col("city").desc()).coalesce(1)):
-        frame = clusters.vectors(layout, partitions=4)
+        frame = clusters.vectors(layout)
         fit = clusters.fit_kmeans(frame, 3, 42)
         rows = clusters.assign_clusters(frame, fit).select("location_id", "cluster_id").collect()
         seen.add((round(fit.cost, 9), tuple(sorted((r[0], r[1]) for r in rows))))
@@ -133,7 +133,7 @@ def test_zero_variance_is_named(spark):
         similarity.standardise(flat, SERVING_MEASURES).collect()
 
 
-@pytest.mark.parametrize("cell_rows", [4096, 32, 4])
+@pytest.mark.parametrize("cell_rows", [4096, 32, 8, 4])
 def test_nearest_of_all_equals_brute_force(spark, cell_rows):
     """A third of the places are copies, the rest are spread unevenly, some on one line."""
     rng = random.Random(11)
@@ -158,3 +158,44 @@ def test_nearest_of_all_equals_brute_force(spark, cell_rows):
         wanted = [j for j in np.lexsort((np.arange(len(points)), distance)) if j != i][:4]
         assert [found[i][k + 1][0] for k in range(4)] == wanted
         assert [found[i][k + 1][1] for k in range(4)] == [distance[j] for j in wanted]
+
+
+def test_centres_follow_the_rows_and_not_their_layout(spark):
+    rng = random.Random(4)
+    rows = [(i, *(rng.gauss(4 * (i % 3), 1.0) for _ in range(5))) for i in range(700)]
+    fields = "location_id long, " + ", ".join(f"{m} double" for m in clusters.PROFILE_MEASURES)
+    profiles = spark.createDataFrame(rows, fields)
+    trials = [(2, 42), (3, 42), (3, 7), (5, 100)]
+    few, many = (clusters.fit_trials(clusters.vectors(profiles.repartition(n)), trials) for n in (3, 50))
+    for a, b in zip(few, many):
+        assert a.sizes == b.sizes and a.cost == pytest.approx(b.cost)
+        assert np.allclose(a.found, b.found, rtol=0, atol=1e-9)
+    # Every fit is a fixed point: centres at the means of their members, found here in numpy.
+    frame = clusters.vectors(profiles)
+    points = np.array([r["features"].toArray() for r in frame.orderBy("location_id").collect()])
+    for fit in few:
+        centres = np.array(fit.found)
+        gaps = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        near = gaps.argmin(axis=1)
+        assert np.bincount(near, minlength=fit.k).tolist() == list(fit.sizes)
+        assert gaps.min(axis=1).sum() == pytest.approx(fit.cost, rel=1e-5)
+        means = np.array([points[near == c].mean(axis=0) for c in range(fit.k)])
+        assert np.abs(means - centres).max() < 1e-3
+    assert few[1].sizes == few[2].sizes and sorted(few[1].sizes) == [233, 233, 234]
+
+
+def test_fewer_points_than_clusters(spark):
+    fields = "location_id long, " + ", ".join(f"{m} double" for m in clusters.PROFILE_MEASURES)
+    rows = [(i, *(float(i % 2 + m) for m in range(5))) for i in range(6)]
+    fit = clusters.fit_kmeans(clusters.vectors(spark.createDataFrame(rows, fields)), 4, 1)
+    assert fit.sizes == (3, 3) and fit.cost == pytest.approx(0.0, abs=1e-6)
+
+
+def test_cells_hold_no_more_than_asked(spark):
+    rng = random.Random(2)
+    points = {(float(rng.randint(0, 3)), float(rng.randint(0, 2)), rng.random()) for _ in range(600)}
+    points |= {(7.0, 7.0, i / 7) for i in range(100)}
+    df = spark.createDataFrame([list(p) for p in points], "x0 double, x1 double, x2 double")
+    cuts = neighbours.place_cuts(df, ["x0", "x1", "x2"], 8)
+    counts = np.bincount(cuts.cells(np.array(sorted(points))))
+    assert counts.max() <= 8 and counts.sum() == len(points)
