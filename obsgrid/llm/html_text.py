@@ -68,7 +68,7 @@ OUTSIDE_MAIN = frozenset({"header", "site-header", "banner"})
 
 TAG = re.compile(
     r"<!--(?:.*?-->|.*)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'){0,400}+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
     r"|<[!?/][^>]*+>",
     re.S,
@@ -98,6 +98,8 @@ class Block:
     #: How many of them are outside the outermost article.
     outside: int = 0
     label: bool | None = None
+    #: The label that an open block gets from its neighbours.
+    inherited: bool | None = None
 
 
 @dataclass
@@ -206,13 +208,18 @@ class _Cutter:
 def cut(page: str) -> list[Block]:
     """The text blocks of a page in order. Scripts, styles and comments hold no text."""
     cutter, at, size = _Cutter(), 0, len(page)
+    # No tag ends after this, so none is looked for there.
+    last = page.rfind(">") + 1
     while at < size:
-        tag = TAG.search(page, at)
+        tag = TAG.search(page, at, last) if at < last else None
         if tag is None:
-            cutter.text(page[at:])
+            comment = page.find("<!--", at)
+            cutter.text(page[at : comment if comment >= 0 else size])
             break
         cutter.text(page[at : tag.start()])
         at = tag.end()
+        if tag[0].startswith("<!--") and not tag[0].endswith("-->"):
+            break
         name = (tag["name"] or tag["name2"] or "").lower()
         if not name:
             continue
@@ -272,20 +279,41 @@ def _second_pass(blocks: list[Block]) -> None:
     any, else of the page unless they are in an article. A heading looks ahead first; at equal
     distance main text wins. Where all blocks are short and none is decided to be main text, the
     open ones are it."""
-    decided = [(i, b) for i, b in enumerate(blocks) if b.label is not None]
-    if not any(b.label for _, b in decided):
-        decided = []
-    by_section: dict[int, list[int]] = {}
-    for i, b in decided:
-        by_section.setdefault(b.section, []).append(i)
-    everywhere = [i for i, b in decided if not b.boilerplate]
+    if not any(b.label for b in blocks if b.label is not None):
+        near = {}
+    else:
+        near = _neighbours(blocks)
     for i, block in enumerate(blocks):
         if block.label is None:
-            near = by_section.get(block.section) or ([] if block.main else everywhere)
+            at = near.get(i, ())
             if block.heading:
-                near = [j for j in near if j > i] or near
-            best = min(near, key=lambda j: (abs(j - i), not blocks[j].label), default=None)
-            block.label = True if best is None else blocks[best].label
+                at = [j for j in at if j > i] or at
+            best = min(at, key=lambda j: (abs(j - i), not blocks[j].label), default=None)
+            block.inherited = True if best is None else blocks[best].label
+    for block in blocks:
+        if block.label is None:
+            block.label = block.inherited
+
+
+def _neighbours(blocks: list[Block]) -> dict[int, list[int]]:
+    """For each open block the nearest decided ones before and after it, by one sweep each way: in
+    its section, or on the page if the section has none and isn't in an article."""
+    out: dict[int, list[int]] = {}
+    sections = {b.section for b in blocks if b.label is not None}
+    for turn in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
+        last: dict[int | None, int] = {}
+        for i in turn:
+            block = blocks[i]
+            if block.label is not None:
+                last[block.section] = i
+                if not block.boilerplate:
+                    last[None] = i
+            elif block.section in sections:
+                if block.section in last:
+                    out.setdefault(i, []).append(last[block.section])
+            elif not block.main and None in last:
+                out.setdefault(i, []).append(last[None])
+    return out
 
 
 def _mark_named(blocks: list[Block]) -> None:

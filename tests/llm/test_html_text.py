@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+import time
 
 from obsgrid.llm import html_text
 from obsgrid.llm.html_text import main_text
@@ -97,3 +99,54 @@ def test_names_round_the_whole_page():
     assert main_text(f"<main>{inner}</main><div class=related><article>{inner}</article></div>") == want
     assert main_text(f"<aside><article>{inner}</article></aside>") == ""
     assert main_text(f"<div hidden><article>{inner}</article></div>") == ""
+
+
+def quadratic_labels(blocks):
+    """Labels of the second pass by looking at every decided block for each open one."""
+    decided = [i for i, b in enumerate(blocks) if b.label is not None]
+    if not any(blocks[i].label for i in decided):
+        decided = []
+    out = []
+    for i, block in enumerate(blocks):
+        if block.label is not None:
+            out.append(block.label)
+            continue
+        near = [j for j in decided if blocks[j].section == block.section]
+        if not near and not block.main:
+            near = [j for j in decided if not blocks[j].boilerplate]
+        if block.heading:
+            near = [j for j in near if j > i] or near
+        best = min(near, key=lambda j: (abs(j - i), not blocks[j].label), default=None)
+        out.append(True if best is None else blocks[best].label)
+    return out
+
+
+def test_open_blocks_take_the_nearest_label():
+    rng = random.Random(9)
+    for _ in range(400):
+        blocks = [
+            html_text.Block(
+                "x", 0, rng.randint(0, 3), rng.random() < 0.2, rng.random() < 0.2, rng.random() < 0.2,
+                label=rng.choice([True, False, None, None, None]),
+            )
+            for _ in range(rng.randint(1, 25))
+        ]
+        want = quadratic_labels(blocks)
+        html_text._second_pass(blocks)
+        assert [b.label for b in blocks] == want
+
+
+def test_long_pages_take_time_in_proportion():
+    began = time.time()
+    words = "the quick brown fox and the lazy dog are in the field of a farm by the road"
+    page = "".join(f"<p>{words} {i}.</p><h2>h{i}</h2>" if i % 3 else f"<div>short {i}</div>" for i in range(60_000))
+    assert html_text.main_text(page).count("\n\n") > 30_000
+    for tail in ("<a " * 100_000, "<a '" * 100_000, "<!-- " * 100_000, '<a "> ' * 20_000, "< <b" * 100_000):
+        assert html_text.main_text(f"<p>{words}, {words}.</p>{tail}").startswith("the quick")
+    assert time.time() - began < 60
+
+
+def test_unclosed_tags_and_comments():
+    assert html_text.main_text("<p>One two.</p> tail <a href=") .startswith("One two.")
+    assert html_text.main_text("<p>One two.</p><!-- gone <p>x</p>") == "One two."
+    assert html_text.main_text("<p>One two.</p><!-- gone") == "One two."
