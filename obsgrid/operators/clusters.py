@@ -19,6 +19,8 @@ from obsgrid.operators import kmeans
 from obsgrid.schema import PROFILE_MEASURES, SERVING_MEASURES
 
 PARALLEL_SCORES = 4
+#: Members in one file of a cluster profile.
+SHARD_ROWS = 100_000
 
 # The tried settings.
 MAX_ITERATIONS = 100
@@ -238,6 +240,40 @@ def cluster_documents(
     )
 
 
+def write_profiles(
+    assigned: DataFrame,
+    fit_centres: DataFrame,
+    root: str,
+    columns: Sequence[str] = PROFILE_MEASURES,
+    shard_rows: int = SHARD_ROWS,
+) -> None:
+    """The clusters' documents, and their members beside them in shards of at most ``shard_rows``
+    rows. A list inside a document would hold a large share of all places in one cell."""
+    documents = cluster_documents(assigned, fit_centres, columns)
+    documents.coalesce(1).write.mode("overwrite").json(f"{root}/documents")
+    (
+        cluster_members(assigned)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", shard_rows)
+        .partitionBy("cluster_id")
+        .json(f"{root}/members")
+    )
+
+
+def read_profiles(
+    spark: SparkSession, root: str, columns: Sequence[str] = PROFILE_MEASURES
+) -> DataFrame:
+    """One row per member with its cluster's document: shards are read whole, documents are as
+    many as clusters."""
+    values = "struct<" + ", ".join(f"{c}: double" for c in columns) + ">"
+    documents = spark.read.schema(
+        f"name string, cluster_id int, size long, standardized_centroids {values}, "
+        f"original_unit_means {values}"
+    ).json(f"{root}/documents")
+    members = spark.read.schema("location_id long, member string, cluster_id int").json(f"{root}/members")
+    return documents.join(members, "cluster_id")
+
+
 def pca_2d(frame: DataFrame, keys: Sequence[str], features: str = "features") -> DataFrame:
     """Two principal coordinates with the variance each explains.
 

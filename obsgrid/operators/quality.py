@@ -240,8 +240,11 @@ def feature_report(features: DataFrame, dataset: str, columns: Sequence[str]) ->
     )
 
 
-def assignment_report(assigned: DataFrame, dataset: str, k: int, rows: int) -> DataFrame:
-    """Cluster ids inside 0..k-1, all used, and every place assigned."""
+def assignment_report(
+    assigned: DataFrame, dataset: str, k: int, rows: int, expected: Sequence[int] = ()
+) -> DataFrame:
+    """Cluster ids inside 0..k-1, all used, every place assigned, and clusters of the expected
+    sizes, by id, where they are given."""
     cluster = F.col("cluster_id")
     sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
     facts = sizes.agg(
@@ -250,6 +253,10 @@ def assignment_report(assigned: DataFrame, dataset: str, k: int, rows: int) -> D
         F.sum(F.when(~cluster.between(0, k - 1) | cluster.isNull(), F.col("size")).otherwise(0)).alias(
             "outside"
         ),
+        *[
+            F.coalesce(F.sum(F.when(cluster == i, F.col("size"))), F.lit(0)).alias(f"size_{i}")
+            for i in range(len(expected))
+        ],
     )
     return report(
         facts,
@@ -258,6 +265,10 @@ def assignment_report(assigned: DataFrame, dataset: str, k: int, rows: int) -> D
             Rule("rows", F.col("rows"), F.lit(rows).cast("long")),
             Rule("clusters_used", F.col("used"), F.lit(k).cast("long")),
             Rule("ids_outside_range", F.col("outside"), F.lit(0).cast("long")),
+            *[
+                Rule(f"size_{i}", F.col(f"size_{i}"), F.lit(n).cast("long"))
+                for i, n in enumerate(expected)
+            ],
         ],
     )
 

@@ -14,7 +14,6 @@ from obsgrid.plans.observations import CITY, _stats_sql, round_columns
 from obsgrid.plans.registry import query, rounded
 from obsgrid.schema import IDENTITY, PROFILE_MEASURES, SERVING_MEASURES, SERVING_NAMES
 from obsgrid.session import scratch_path
-from obsgrid.sources.tables import write_report
 from obsgrid.sources.views import DAILY_SQL, catalogue, given_clusters, readings, with_identity
 
 WET_DAY = 30.0
@@ -456,6 +455,24 @@ def assignment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assignment_report(serve(spark, sf_dir), "clusters", clusters.FINAL_K, wanted)
 
 
+FITTED_RULES = ", ".join(
+    f"('{r}')" for r in ("rows", "clusters_used", "ids_outside_range", *(f"size_{i}" for i in range(clusters.FINAL_K)))
+)
+
+
+@query(f"""SELECT 'fitted' AS dataset, rule, 'PASS' AS status FROM (VALUES {FITTED_RULES}) AS t(rule)""")
+def fitted_assignment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules, and the expected size of every cluster, on the fitted assignment as it is
+    stored and read back."""
+    frame, path = _frame(spark, sf_dir), scratch_path(spark, "assignment")
+    fit = clusters.best_fit(frame)
+    clusters.assign_clusters(frame, fit).select("location_id", "cluster_id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    wanted = catalogue(spark, sf_dir).count()
+    found = assignment_report(stored, "fitted", clusters.FINAL_K, wanted, fit.sizes)
+    return found.select("dataset", "rule", "status")
+
+
 @query()
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = _frame(spark, sf_dir)
@@ -480,13 +497,23 @@ def kmeans_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cluster_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile documents of the final clusters, written as JSON and read back."""
-    frame = _frame(spark, sf_dir)
+    """Profile documents of the final clusters with their members, written as JSON and read back."""
+    frame, path = _frame(spark, sf_dir), scratch_path(spark, "cluster-profiles")
     fit = clusters.best_fit(frame)
-    documents = clusters.cluster_documents(fit.assign(frame), clusters.centroids(frame, fit))
-    path = scratch_path(spark, "cluster-profiles")
-    write_report(documents, path, "json")
-    return spark.read.schema(documents.schema).json(path)
+    clusters.write_profiles(fit.assign(frame), clusters.centroids(frame, fit), path)
+    return clusters.read_profiles(spark, path)
+
+
+@query(f"""WITH {PROFILE_SQL}, sizes AS (SELECT cluster_id, COUNT(*) AS size FROM serving GROUP BY cluster_id)
+SELECT 'cluster_' || cluster_id AS name, cluster_id, size, location_id,
+  city || ' (' || country || ')' AS member FROM serving JOIN sizes USING (cluster_id)""")
+def profile_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and members of the given clusters, in small shards, read back together."""
+    assigned, path = serve(spark, sf_dir), scratch_path(spark, "cluster-profiles")
+    centres = clusters.cluster_profile_z(assigned)
+    clusters.write_profiles(assigned, centres, path, SERVING_MEASURES, shard_rows=100)
+    read = clusters.read_profiles(spark, path, SERVING_MEASURES)
+    return read.select("name", "cluster_id", "size", "location_id", "member")
 
 
 @query()

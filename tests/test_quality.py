@@ -75,6 +75,10 @@ def test_assignment_report(spark):
     assert failed(quality.assignment_report(good, "c", 4, 8)) == set()
     bad = good.withColumn("cluster_id", F.when(F.col("cluster_id") == 3, 9).otherwise(F.col("cluster_id")))
     assert failed(quality.assignment_report(bad, "c", 4, 8)) == {"clusters_used", "ids_outside_range"}
+    sizes = [r["count"] for r in good.groupBy("cluster_id").count().orderBy("cluster_id").collect()]
+    assert failed(quality.assignment_report(good, "c", 4, 8, sizes)) == set()
+    sizes[1] += 1
+    assert failed(quality.assignment_report(good, "c", 4, 8, sizes)) == {"size_1"}
 
 
 def test_one_to_one_join(spark):
