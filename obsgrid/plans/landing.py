@@ -1,7 +1,6 @@
 """Raw payload files derived from the observation view, in the layout an API client leaves.
 
-One file per work unit, named by its folder. Files are written once per session and shared
-by the queries that read raw payloads.
+One file per work unit, named by its folder. Every query writes the files that it reads.
 """
 
 from __future__ import annotations
@@ -20,8 +19,6 @@ from obsgrid.streaming.workplan import number_places, windows
 BATCH = 11
 DAYS = 365
 
-_written: dict[tuple[str, str, str], str] = {}
-
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The numbered catalogue as a join side; the supplier table bounds its rows."""
@@ -134,20 +131,17 @@ def write_texts(texts: DataFrame, root: str, mode: str = "overwrite") -> None:
 
 
 def array_files(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "arrays", _as_array)
+    return _landed(spark, sf_dir, "arrays", _as_array)
 
 
 def envelope_files(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "envelopes", _as_envelope)
+    return _landed(spark, sf_dir, "envelopes", _as_envelope)
 
 
-def _once(spark: SparkSession, sf_dir: str, kind: str, shape) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _written:
-        root = scratch_path(spark, kind)
-        write_texts(shape(payloads(spark, sf_dir)), root)
-        _written[key] = root
-    return _written[key]
+def _landed(spark: SparkSession, sf_dir: str, kind: str, shape) -> str:
+    root = scratch_path(spark, kind)
+    write_texts(shape(payloads(spark, sf_dir)), root)
+    return root
 
 
 def corrections(spark: SparkSession, sf_dir: str, shift: float) -> DataFrame:

@@ -86,6 +86,37 @@ def backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workplan.backlog(files, _manifest(_plan(spark, sf_dir)))
 
 
+@query(f"""WITH {FAULTS_SQL},
+tried AS (SELECT work_id, (batch_number * 3 + days + CAST(EXTRACT(DAY FROM start_date) AS INTEGER)) % 5 AS t FROM plan),
+records AS (SELECT work_id, CASE WHEN t = 0 THEN 'failed' ELSE 'success' END AS status FROM tried WHERE t < 2),
+acts AS (
+  SELECT p.work_id, m.status, CASE WHEN m.status = 'success' AND u.work_id IS NOT NULL THEN 'skip'
+    WHEN m.status = 'success' THEN 'refetch' WHEN u.work_id IS NOT NULL AND u.reason IS NULL THEN 'adopt'
+    WHEN u.work_id IS NOT NULL THEN 'replace' ELSE 'fetch' END AS action
+  FROM plan p LEFT JOIN records m ON p.work_id = m.work_id LEFT JOIN units u ON p.work_id = u.work_id)
+SELECT work_id, action, CASE WHEN action = 'adopt' THEN 'success' ELSE status END AS recorded,
+  action IN ('skip', 'adopt') AS present FROM acts""")
+def resume_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of landed files, some of them broken, against a manifest of some of the units:
+    sound files are adopted, broken ones deleted, and both can be seen afterwards."""
+    raw, manifest = scratch_path(spark, "raw"), scratch_path(spark, "manifest")
+    landing.write_texts(landing.faulty_texts(spark, sf_dir), raw)
+    plan = _plan(spark, sf_dir)
+    turn = (F.col("batch_number") * 3 + F.col("days") + F.dayofmonth("start_date")) % 5
+    status = F.when(turn == 0, "failed").otherwise("success").alias("status")
+    started = plan.where(turn < 2).select("work_id", status, F.lit(None).cast("string").alias("error"))
+    workplan.record_units(started, manifest)
+    numbered = landing.numbered(spark, sf_dir)
+    actions = ingest.resume(spark, raw, plan, numbered, manifest, full_windows=False)
+    recorded = workplan.read_manifest(spark, manifest).select("work_id", F.col("status").alias("recorded"))
+    left = payloads.list_files(spark, raw).select("work_id", F.lit(True).alias("there")).distinct()
+    return (
+        actions.join(recorded, "work_id", "left")
+        .join(left, "work_id", "left")
+        .select("work_id", "action", "recorded", F.col("there").isNotNull().alias("present"))
+    )
+
+
 # ---- freshness and merging -------------------------------------------------------------
 
 
