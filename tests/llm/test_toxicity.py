@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -75,3 +76,34 @@ def test_awkward_rows(spark):
     rows = toxicity.score_documents(awkward(spark), model).collect()
     assert len(rows) == 8 and all(r["predicted"] == 0 for r in rows)
     assert toxicity.score_documents(nothing(spark), model).count() == 0
+
+
+def occurrences(text, part):
+    return [i for i in range(len(text)) if text.startswith(part, i)]
+
+
+def plain_features(model, text):
+    """Weights by looking for every entry and phrase at every place of the folded text."""
+    folded = toxicity.fold(text)
+    best = {}
+    for entry, weight in model.weights.items():
+        for at in occurrences(folded, entry):
+            best[at] = max(weight, best.get(at, 0.0))
+    for phrase in model.exceptions:
+        for at in occurrences(folded, phrase):
+            best = {s: w for s, w in best.items() if not at <= s < at + len(phrase) - 1}
+    total = sum(best.values())
+    return math.log1p(total), math.log1p(100.0 * total / max(1, len(folded.split())))
+
+
+def test_matches_a_plain_search_of_every_entry_and_exception():
+    rng = random.Random(6)
+    for _ in range(150):
+        entries = {" " + "".join(rng.choice("ab") for _ in range(rng.randint(1, 3))) + rng.choice(["", " "]) for _ in range(5)}
+        weights = {e: rng.randint(1, 20) / 4 for e in entries}
+        phrases = {f" {rng.choice(['a', 'ab', 'b'])} {rng.choice(['a', 'ba', 'c'])} " for _ in range(2)} - entries
+        model = toxicity.Model(weights=weights, exceptions=sorted(phrases))
+        for _ in range(10):
+            text = " ".join("".join(rng.choice("abAc4") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 12)))
+            got, want = model.features(text), plain_features(model, text)
+            assert all(abs(a - b) < 1e-9 for a, b in zip(got, want)), (model, text)
