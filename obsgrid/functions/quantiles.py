@@ -10,28 +10,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-#: Parts that a bracket is cut into in each pass.
+#: Parts that a bracket is cut into in a pass over many values.
 SLICES = 256
+#: Values of a bracket that the last pass brings to the driver, for each wanted rank.
+BUFFER = 4096
 
 
 @dataclass
 class _Wanted:
-    """An order statistic: the value of ``rank`` (from 0) lies in [low, high], and ``below``
-    values are smaller than low."""
+    """An order statistic: the value of ``rank`` (from 0) lies in [low, high]; ``below`` values are
+    smaller than low, and ``held`` lie inside, as far as they have been counted."""
 
     column: str
     rank: int
     low: float
     high: float
-    below: int = 0
+    below: int | None = None
+    held: int | None = None
     value: float | None = None
 
     def inside(self) -> Column:
         return F.col(self.column).between(self.low, self.high)
 
 
-def _moments(df: DataFrame, columns: Sequence[str]) -> dict:
-    """Extremes, count, mean and deviation per column; one row."""
+def _measure(df: DataFrame, columns: Sequence[str], chances: Sequence[float], accuracy: int) -> dict:
+    """Extremes, count, mean and deviation per column, and for each chance the values between which
+    a bounded sketch puts it: its ranks are off by 1 / accuracy of the rows at most. One row."""
+    slack = 3.0 / accuracy
+    edges = [e for p in chances for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
     found = df.agg(
         *[
             F.struct(
@@ -40,6 +46,7 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> dict:
                 F.count(c).alias("n"),
                 F.avg(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
+                F.percentile_approx(c, edges, accuracy).alias("edges"),
             ).alias(c)
             for c in columns
         ]
@@ -47,67 +54,76 @@ def _moments(df: DataFrame, columns: Sequence[str]) -> dict:
     return {c: found[c] for c in columns}
 
 
-def _bracket(df: DataFrame, wanted: list[_Wanted], sizes: Mapping[str, int], accuracy: int) -> None:
-    """Bracket every rank by a bounded sketch, whose ranks are off by 1 / accuracy of the rows at
-    most. Ends that agree are the value itself, as all are where the rows are few."""
-    edges: dict[str, list[float]] = {}
-    for w in wanted:
-        middle, slack = (w.rank + 0.5) / sizes[w.column], 2.0 / accuracy
-        edges.setdefault(w.column, []).extend((max(middle - slack, 0.0), min(middle + slack, 1.0)))
-    found = df.agg(*[F.percentile_approx(c, e, accuracy).alias(c) for c, e in edges.items()]).first()
-    ends = {c: iter(found[c]) for c in edges}
-    for w in wanted:
-        w.low, w.high = next(ends[w.column]), next(ends[w.column])
-        w.value = w.low if w.low == w.high else None
+def _entries(wanted: list[_Wanted], part) -> Column:
+    """For each bracket the number of its part that a row's value lies in; -1 is below it."""
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(w.column) <= w.high,
+                    F.struct(
+                        F.lit(i).alias("i"),
+                        F.when(F.col(w.column) < w.low, F.lit(-1)).otherwise(part(w)).alias("s"),
+                        F.col(w.column).alias("v"),
+                    ),
+                )
+                for i, w in enumerate(wanted)
+            ]
+        )
+    )
 
 
-def _place(df: DataFrame, wanted: list[_Wanted], extremes: Mapping[str, tuple]) -> None:
-    """Count what lies below and inside each bracket, in one wide aggregate. A bracket that
-    misses its rank becomes the whole column."""
-    counts = df.agg(
-        *[F.count_if(F.col(w.column) < w.low).alias(f"b{i}") for i, w in enumerate(wanted)],
-        *[F.count_if(w.inside()).alias(f"i{i}") for i, w in enumerate(wanted)],
-    ).first()
-    for i, w in enumerate(wanted):
-        w.below = counts[f"b{i}"]
-        if not w.below <= w.rank < w.below + counts[f"i{i}"]:
-            w.low, w.high, w.below = *extremes[w.column], 0
-
-
-def _narrow(df: DataFrame, wanted: list[_Wanted]) -> None:
-    """Cut every open bracket into slices, count them, and keep the slice that holds the rank.
-    Only values inside brackets are unfolded; a row per slice reaches the driver."""
-
-    def slice_of(w: _Wanted) -> Column:
-        width = (w.high - w.low) / SLICES
-        if not math.isfinite(width) or width == 0.0:
-            # Too wide or too narrow to divide: cut at the middle.
-            return (F.col(w.column) > w.low / 2 + w.high / 2).cast("int")
-        return F.least(F.floor((F.col(w.column) - w.low) / width), F.lit(SLICES - 1)).cast("int")
-
-    entries = [
-        F.when(
-            w.inside(),
-            F.struct(F.lit(i).alias("i"), slice_of(w).alias("s"), F.col(w.column).alias("v")),
-        )
-        for i, w in enumerate(wanted)
-    ]
+def _slice_of(w: _Wanted) -> Column:
+    width = (w.high - w.low) / SLICES
+    if not math.isfinite(width) or width == 0.0:
+        # Too wide or too narrow to divide: cut at the middle.
+        return (F.col(w.column) > w.low / 2 + w.high / 2).cast("int")
+    return F.least(F.floor((F.col(w.column) - w.low) / width), F.lit(SLICES - 1)).cast("int")
+
+
+def _narrow(df: DataFrame, wanted: list[_Wanted], extremes: Mapping[str, tuple]) -> None:
+    """Cut every open bracket into slices, count them and what lies below, and keep the slice that
+    holds the rank. A bracket that misses its rank becomes the whole column. A row per slice
+    reaches the driver."""
     slices = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
+        df.select(F.inline(_entries(wanted, _slice_of)))
         .groupBy("i", "s")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()
     )
+    before = [0] * len(wanted)
+    for w in wanted:
+        w.held = None
     for r in sorted(slices, key=lambda r: (r["i"], r["s"])):
+        w, below = wanted[r["i"]], before[r["i"]]
+        if r["s"] >= 0 and below <= w.rank < below + r["n"]:
+            w.low, w.high, w.below, w.held = r["low"], r["high"], below, r["n"]
+        before[r["i"]] += r["n"]
+    for w in wanted:
+        if w.held is None:
+            if (w.low, w.high) == extremes[w.column]:
+                raise ValueError(f"{w.column} has values without an order")
+            w.low, w.high = extremes[w.column]
+        elif w.low == w.high:
+            w.value = w.low
+
+
+def _read(df: DataFrame, wanted: list[_Wanted]) -> None:
+    """Bring the values of small brackets to the driver, equal ones as one row."""
+    inside = F.array_compact(
+        F.array(
+            *[
+                F.when(w.inside(), F.struct(F.lit(i).alias("i"), F.col(w.column).alias("v")))
+                for i, w in enumerate(wanted)
+            ]
+        )
+    )
+    found = df.select(F.inline(inside)).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).collect()
+    for r in sorted(found, key=lambda r: (r["i"], r["v"])):
         w = wanted[r["i"]]
         if w.value is None and w.below <= w.rank < w.below + r["n"]:
-            w.low, w.high, w.value = r["low"], r["high"], math.nan
-        elif w.value is None:
-            w.below += r["n"]
-    for w in wanted:
-        if w.value is None:
-            raise ValueError(f"{w.column} has values without an order")
-        w.value = w.low if w.low == w.high else None
+            w.value = r["v"]
+        w.below += r["n"]
 
 
 def exact_quantiles(
@@ -119,18 +135,20 @@ def exact_quantiles(
     """Linear-interpolated quantiles of whole columns, with count, mean, sample deviation
     and extremes: one row per variable.
 
-    ``percentile`` would keep every distinct value of a column in one task. Here a bounded
-    sketch brackets each wanted rank, one wide aggregate counts what lies below and inside the
-    brackets that are still open, and passes over the values inside cut each bracket into slices and keep the one
-    with the rank until it holds a single value, however often that occurs. Every pass is an
-    aggregate that combines per task; the driver sees at most SLICES rows per wanted rank.
+    ``percentile`` would keep every distinct value of a column in one task. Here one aggregate
+    takes the moments and a bounded sketch, which brackets each wanted rank; a second counts what
+    lies below each bracket and in each of its slices; a third brings the few values of the slice
+    with the rank to the driver. Only a slice of more than ``BUFFER`` values that differ is cut
+    again, and a bracket that misses its rank, which becomes the whole column. Every pass combines
+    per task; the driver sees at most SLICES or BUFFER rows per wanted rank.
 
     The input is kept between the passes. Columns without values give NULLs.
     """
     spark = df.sparkSession
+    chances = list(probabilities.values())
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).persist()
     try:
-        moments = _moments(values, columns)
+        moments = _measure(values, columns, chances, accuracy)
         extremes = {c: (m["least"], m["most"]) for c, m in moments.items()}
         positions = {
             (c, name): p * (moments[c]["n"] - 1)
@@ -138,18 +156,24 @@ def exact_quantiles(
             for name, p in probabilities.items()
             if moments[c]["n"]
         }
-        ranks = {
-            (c, rank): _Wanted(c, rank, *extremes[c])
-            for (c, _), at in positions.items()
-            for rank in (math.floor(at), math.ceil(at))
-        }
-        wanted = list(ranks.values())
-        if wanted:
-            _bracket(values, wanted, {c: m["n"] for c, m in moments.items()}, accuracy)
-        if missing := [w for w in wanted if w.value is None]:
-            _place(values, missing, extremes)
-        while open_ := [w for w in wanted if w.value is None]:
-            _narrow(values, open_)
+        ranks: dict[tuple[str, int], _Wanted] = {}
+        for (c, name), at in positions.items():
+            turn = 2 * list(probabilities).index(name)
+            # Of few rows the sketch's ranks say nothing, since a rank is more than its slack.
+            few = moments[c]["n"] <= accuracy
+            ends = extremes[c] if few else tuple(moments[c]["edges"][turn : turn + 2])
+            for rank in (math.floor(at), math.ceil(at)):
+                w = ranks.setdefault((c, rank), _Wanted(c, rank, *ends))
+                if few and moments[c]["n"] <= BUFFER:
+                    w.below, w.held = 0, moments[c]["n"]
+        while open_ := [w for w in ranks.values() if w.value is None]:
+            if small := [w for w in open_ if w.held is not None and w.held <= BUFFER]:
+                _read(values, small)
+                for w in small:
+                    if w.value is None:
+                        raise ValueError(f"{w.column} has values without an order")
+            if large := [w for w in open_ if w not in small]:
+                _narrow(values, large, extremes)
     finally:
         values.unpersist()
 

@@ -90,8 +90,9 @@ def catalogue_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(daily_sql(f"SELECT {DAILY_LIST} FROM daily_obs"))
 def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily table written by year, its recent years written again, and read back."""
-    root = scratch_path(spark, "daily")
-    daily = daily_obs(spark, sf_dir)
+    root, staged = scratch_path(spark, "daily"), scratch_path(spark, "staged")
+    daily_obs(spark, sf_dir).write.parquet(staged)
+    daily = spark.read.schema(DAILY_SCHEMA).parquet(staged)
     tables.rebuild_daily(daily, root)
     tables.write_daily(daily.where(F.col("year") >= SPLIT.year), root)
     return tables.read_daily(spark, root)
