@@ -3,7 +3,6 @@ from __future__ import annotations
 import itertools
 import random
 
-import corpus_pipeline
 from llm_helpers import WORD, awkward, documents, nothing, reachable
 
 from obsgrid.llm import jaccard, simhash
@@ -63,13 +62,6 @@ def test_components_are_those_of_all_pairs(spark):
     assert len(missed) > 100
 
 
-def test_stage_takes_every_near_copy(spark, tmp_path):
-    texts = planted()
-    want, _ = brute(list(enumerate(texts)))
-    kept = corpus_pipeline.without_near_copies(spark, documents(spark, texts), str(tmp_path))
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, c in want.items() if i == c)
-
-
 def test_awkward_rows(spark):
     docs = awkward(spark)
     got = found(jaccard.similar_documents(docs))
