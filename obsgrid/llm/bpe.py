@@ -6,6 +6,11 @@ neighbouring tokens of every unfinished word with the merge table and merges the
 pair of minimum rank, until no pair of the word is in the table. Decoding joins token rows with
 the vocabulary and aggregates their bytes in order of position.
 
+Words above ``LONG_BYTES`` merge all places of their minimum rank in a round, so that rounds follow
+the ranks in use and not the word's length. That gives the same ids where no merge makes a pair
+of lower rank than its own, which holds if every token can be reached by the merges below it
+(``reachable``); for other rank files only the leftmost place is merged there too.
+
 A worker keeps the encodings of at most ``CACHED_WORDS`` words between its tasks, and works on
 at most ``BLOCK_WORDS`` words at a time, so its memory doesn't grow with the texts. The rank file
 is read once on the driver; its size is that of the vocabulary, whatever the data.
@@ -38,6 +43,10 @@ RANKS = "byte_bpe_50k.tiktoken"
 BLOCK_WORDS = 1 << 17
 MERGED_WORDS = 1 << 14
 CACHED_WORDS = 3 << 17
+#: Bytes above which a word merges all places of its minimum rank at once, and the rows that one
+#: query on such words may pass through before they are written and the next one goes on.
+LONG_BYTES = 64
+LONG_ROWS = 1 << 21
 #: Characters of texts that are encoded and passed on at a time, but for a longer text.
 BLOCK_CHARS = 1 << 21
 #: A text up to so many characters is split in one go.
@@ -66,6 +75,35 @@ WITH RECURSIVE tokens(word, pos, id, live) AS (
 SELECT word, id FROM tokens WHERE NOT live ORDER BY pos
 """
 
+# Places of the word's minimum rank that follow each other overlap: every other one is merged.
+LONG_SQL = """
+WITH RECURSIVE tokens(word, pos, id, live, round) AS (
+  SELECT word, pos, id, TRUE, 0 FROM symbols
+  UNION ALL (
+    WITH pairs AS (
+      SELECT word, pos, id, round,
+        CASE WHEN lead(word) OVER line = word THEN lead(id) OVER line END AS next_id,
+        CASE WHEN lead(word) OVER line = word THEN lead(pos) OVER line END AS next_pos
+      FROM tokens WHERE live AND round < $rounds WINDOW line AS (ORDER BY pos)),
+    ranked AS (
+      SELECT word, pos, next_pos, rank
+      FROM pairs JOIN merges ON left_id = id AND right_id = next_id),
+    best AS (SELECT word, min(rank) AS pick FROM ranked GROUP BY word),
+    places AS (
+      SELECT word, pos, next_pos, rank, row_number() OVER line AS n,
+        coalesce(lag(next_pos) OVER line = pos, FALSE) AS follows
+      FROM ranked JOIN best USING (word) WHERE rank = pick WINDOW line AS (ORDER BY pos)),
+    runs AS (
+      SELECT *, n - max(CASE WHEN NOT follows THEN n END) OVER (ORDER BY pos) AS turn,
+        row_number() OVER (PARTITION BY word ORDER BY pos) = 1 AS leftmost
+      FROM places),
+    taken AS (SELECT pos, next_pos, rank FROM runs WHERE turn % 2 = 0 AND (leftmost OR $every))
+    SELECT p.word, p.pos, coalesce(t.rank, p.id), pick IS NOT NULL, p.round + 1
+    FROM pairs p LEFT JOIN best USING (word) LEFT JOIN taken t ON t.pos = p.pos
+    WHERE p.pos NOT IN (SELECT next_pos FROM taken)))
+SELECT word, pos, id, live FROM tokens WHERE NOT live OR round = $rounds
+"""
+
 DECODE_SQL = """
 SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes
 FROM ids JOIN vocabulary USING (id) GROUP BY doc
@@ -78,13 +116,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+def reachable(ranks: dict[bytes, int]) -> bool:
+    """Whether merges of lower rank alone turn every token's bytes into two tokens that make it."""
+
+    def halves(token: bytes) -> bool:
+        parts, own = [token[i : i + 1] for i in range(len(token))], ranks[token]
+        while len(parts) > 2:
+            found = [ranks.get(a + b, own) for a, b in itertools.pairwise(parts)]
+            least = min(found)
+            if least >= own:
+                return False
+            at = found.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return True
+
+    return all(halves(token) for token in ranks if len(token) > 2)
+
+
 class Codec:
-    """Encodes and decodes with one rank table."""
+    """Encodes and decodes with one rank table; ``every`` tells whether it is ``reachable``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, every: bool = False):
+        self.every = every
         self.split = regex.compile(pattern)
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         pairs = [
             (ranks[token[:i]], ranks[token[i:]], rank)
             for token, rank in ranks.items()
@@ -111,22 +167,46 @@ class Codec:
         self.starts = np.zeros(1, np.int64)
         self.tokens = np.zeros(0, np.int32)
 
-    def _learn(self, words: list[str]) -> None:
-        data = [w.encode("utf-8") for w in words]
+    def _symbols(self, data: list[bytes]) -> dict[str, np.ndarray]:
+        """One row per byte of the words."""
         sizes = np.array([len(b) for b in data], np.int64)
         word = np.repeat(np.arange(len(data), dtype=np.int32), sizes)
-        self._table(
-            "symbols",
-            word=word,
-            pos=np.arange(len(word)),
-            id=self.of_byte[np.frombuffer(b"".join(data), np.uint8)],
-        )
+        ids = self.of_byte[np.frombuffer(b"".join(data), np.uint8)]
+        return {"word": word, "pos": np.arange(len(word)), "id": ids}
+
+    def _merged(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of the word and the id of every token, in order."""
+        self._table("symbols", **self._symbols(data))
         found = self.db.sql(MERGE_SQL).to_arrow_table()
-        counts = np.bincount(found["word"].to_numpy(), minlength=len(data))
+        return found["word"].to_numpy(), found["id"].to_numpy()
+
+    def _merged_long(self, data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for long words, a bounded number of rounds at a time."""
+        rows, done = self._symbols(data), []
+        while len(rows["pos"]):
+            self._table("symbols", **rows)
+            rounds = max(1, min(256, LONG_ROWS // len(rows["pos"])))
+            found = self.db.sql(LONG_SQL, params={"rounds": rounds, "every": self.every}).to_arrow_table()
+            live = found["live"].to_numpy()
+            columns = {name: found[name].to_numpy() for name in rows}
+            done.append({name: x[~live] for name, x in columns.items()})
+            rows = {name: x[live] for name, x in columns.items()}
+        word, pos, ids = (np.concatenate([d[name] for d in done]) for name in ("word", "pos", "id"))
+        order = np.argsort(pos)
+        return word[order], ids[order]
+
+    def _learn(self, words: list[str]) -> None:
+        words = sorted(words, key=lambda w: len(w.encode("utf-8")) > LONG_BYTES)
+        data = [w.encode("utf-8") for w in words]
+        short = sum(len(b) <= LONG_BYTES for b in data)
+        for some, merged in ((data[:short], self._merged), (data[short:], self._merged_long)):
+            if some:
+                word, ids = merged(some)
+                counts = np.bincount(word, minlength=len(some))
+                self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+                self.tokens = np.concatenate([self.tokens, ids.astype(np.int32)])
         at = len(self.known)
         self.known.update(zip(words, range(at, at + len(words))))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-        self.tokens = np.concatenate([self.tokens, found["id"].to_numpy().astype(np.int32)])
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and the number of ids of each word."""
@@ -170,12 +250,12 @@ class Codec:
             yield np.repeat(*map(np.array, zip(*docs))), words
 
 
-def _codec(ranks: dict[bytes, int], pattern: str) -> Codec:
+def _codec(ranks: dict[bytes, int], pattern: str, every: bool = False) -> Codec:
     """The worker process's codec for these ranks, kept between its tasks."""
     store = sys.modules.setdefault("obsgrid_worker_codecs", types.ModuleType("obsgrid_worker_codecs"))
-    key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    key = hashlib.sha256(repr((sorted(ranks.items()), pattern, every)).encode()).hexdigest()
     if not hasattr(store, key):
-        setattr(store, key, Codec(ranks, pattern))
+        setattr(store, key, Codec(ranks, pattern, every))
     return getattr(store, key)
 
 
@@ -186,8 +266,10 @@ def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def _coder(ranks: dict[bytes, int], pattern: str, kept: list[str]):
+    every = reachable(ranks)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(ranks, pattern)
+        codec = _codec(ranks, pattern, every)
         for rows in (part for batch in batches for part in _parts(batch)):
             texts = rows["text"].tolist()
             ids = [[np.zeros(0, np.int32)] for _ in texts]

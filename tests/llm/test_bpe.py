@@ -83,3 +83,29 @@ def test_a_rank_table_of_one_s_own(spark, tmp_path):
     texts = ["abc", "bcabab", "ababab", "abbc", "cab abc"]
     got = by_id(bpe.encode(documents(spark, texts), path=str(path)))
     assert [got[i]["ids"] for i in range(len(texts))] == [own.encode_ordinary(t) for t in texts]
+
+
+def test_long_words_merge_in_rounds(library, monkeypatch):
+    assert bpe.reachable(RANKS)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(n)) for n in (3, 64, 65, 300, 900)]
+    words += ["a" * 501, "ab" * 200, "é" * 100, "aab" * 99, "x"]
+    want = [library.encode_ordinary(w) for w in words]
+    for rows in (bpe.LONG_ROWS, 9000):
+        monkeypatch.setattr(bpe, "LONG_ROWS", rows)
+        for every in (True, False):
+            ids, counts = bpe.Codec(RANKS, public_tokenizers.PATTERN, every).encode(words)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_ranks_below_those_of_their_parts(spark, tmp_path):
+    """A merge may make a pair of lower rank here, so one place at a time is merged."""
+    ranks = {bytes([i]): i for i in range(256)} | {b"xyz": 256, b"yz": 257, b"zx": 258, b"xyzx": 259, b"yzy": 260}
+    assert not bpe.reachable(ranks)
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + f" {r}\n".encode() for t, r in ranks.items()))
+    own = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    texts = ["xyz" * 40, *("".join(rng.choice("xyz") for _ in range(150)) for _ in range(20))]
+    got = by_id(bpe.encode(documents(spark, texts), path=str(path)))
+    assert [got[i]["ids"] for i in range(len(texts))] == [own.encode_ordinary(t) for t in texts]
