@@ -14,6 +14,8 @@ from obsgrid.functions.joins import small_side
 from obsgrid.schema import DAILY_SCHEMA, IDENTITY, MEASURE_NAMES
 
 GRID = 65536.0
+#: Lines that a task folds to places and days, whatever the size of the table.
+TASK_LINES = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,31 +60,45 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings(spark: SparkSession, sf_dir: str, start_date: Column | None = None) -> DataFrame:
     """One row per place and day, measures only.
 
-    Shipments are folded to (place, day) before any other table is touched: partial sums run
-    in the scan stage and the one shuffle carries integers, never names.
+    Shipments are folded to (place, day) before any other table is touched: the one shuffle
+    carries numbers, never names. Few shipments share a place and a day, so they are sent as
+    they are, to as many tasks as keep a task's groups bounded. ``start_date`` names the window
+    of a ``date``; the rows have it then, and those of a place's window are in one task.
     """
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-lines.count() // TASK_LINES))
+    lines = lines.select(
+        F.col("l_suppkey").alias("location_id"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        _cents("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("quantity"),
+        _cents("l_discount").alias("discount"),
+        _cents("l_tax").alias("tax"),
+    )
+    window = []
+    if start_date is not None:
+        lines, window = lines.withColumn("start_date", start_date), ["start_date"]
     days = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.col("l_suppkey").alias("location_id"), F.col("l_shipdate").cast("date").alias("date")
-        )
+        lines.repartition(tasks, "location_id", *(window or ["date"]))
+        .groupBy("location_id", "date", *window)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(_cents("l_extendedprice")).alias("price"),
-            F.max(_cents("l_extendedprice")).alias("price_max"),
-            F.min(_cents("l_extendedprice")).alias("price_min"),
-            F.sum("l_quantity").alias("quantity"),
-            F.sum(_cents("l_discount")).alias("discount"),
-            F.sum(_cents("l_tax")).alias("tax"),
+            F.sum("price").alias("price"),
+            F.max("price").alias("price_max"),
+            F.min("price").alias("price_min"),
+            F.sum("quantity").alias("quantity"),
+            F.sum("discount").alias("discount"),
+            F.sum("tax").alias("tax"),
         )
     )
     n = F.col("n").cast("double")
     return days.select(
         "location_id",
         "date",
+        *window,
         F.year("date").alias("year"),
         _on_grid(F.col("price"), n * 100000.0).alias("temperature_mean"),
         _on_grid(F.col("price_max"), F.lit(100000.0)).alias("temperature_max"),
