@@ -51,7 +51,7 @@ LEFT JOIN known k ON k.location_id = n.location_id GROUP BY n.location_id""")
 def id_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope ids against a catalogue that lacks some of them."""
     known = catalogue(spark, sf_dir).where(F.col("population") > 0)
-    envelopes = payloads.read_envelopes(spark, landing.envelope_files(spark, sf_dir))
+    envelopes = payloads.parsed_once(payloads.read_envelopes(spark, landing.envelope_files(spark, sf_dir)))
     matched = payloads.flatten_envelopes(envelopes, known, strict=False).groupBy("location_id").agg(
         F.lit(True).alias("known"), F.count(F.lit(1)).alias("days")
     )
