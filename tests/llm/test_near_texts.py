@@ -70,6 +70,33 @@ def test_crowded_values_lose_few_links_and_make_few_pairs(spark, monkeypatch):
         assert sum(checked) < 120 * len(texts)
 
 
+def test_pairs_apart_from_every_leader_are_found_in_crowds(spark):
+    """Every text is nearly similar to all, so values are crowded, but it links to one other only."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for _ in range(150):
+        one = edited(base, 3, rng)
+        texts += [one, edited(one, 2, rng)]
+    texts = [" ".join(t) for t in texts]
+    want, linked = brute(list(enumerate(texts)))
+    twins = [(a, b) for a, b in linked if a % 2 == 0 and b == a + 1]
+    assert len(set(want.values())) > 100 and len(twins) > 140
+    for cell in (near_texts.CELL, 7):
+        got = groups(near_texts.near_texts(documents(spark, texts), crowd=4, cell=cell))
+        assert all(want[i] == want[c] for i, c in got.items())
+        assert met(got, linked) >= 0.97
+
+
+def test_parities_differ_no_more_than_sets():
+    rng = random.Random(3)
+    for _ in range(40):
+        both = [rng.getrandbits(64) for _ in range(rng.randrange(300))]
+        a, b = (set(both + [rng.getrandbits(64) for _ in range(rng.randrange(300))]) for _ in range(2))
+        x, y = (near_texts.parities_of(np.array(sorted(s), np.uint64)) for s in (a, b))
+        assert sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y)) <= len(a ^ b)
+
+
 def test_fingerprints_differ_by_the_angle_between_sets():
     rng = random.Random(2)
     gaps = []
