@@ -301,3 +301,14 @@ def test_compaction_keeps_rows_and_follows_size(spark):
     many = scratch_path(spark, "compact")
     assert tables.compact(spark, root, many, target_file_bytes=2000) > 1
     assert same_content(spark.read.parquet(many), rows)
+
+
+def test_compaction_bounds_the_rows_of_a_file(spark):
+    root, target = scratch_path(spark, "table"), scratch_path(spark, "compact")
+    rows = daily(spark, grid(5, 40))
+    tables.rebuild_daily(rows, root)
+    assert tables.compact(spark, root, target, file_rows=50) == 4
+    got = spark.read.parquet(target)
+    assert same_content(got, rows)
+    held = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(held) > 2 and max(held) <= 100
