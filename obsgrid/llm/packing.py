@@ -78,35 +78,39 @@ class Coder:
         """Cores go to the library many at a time; the place of an id's first character tells
         whose it is."""
         for at in range(0, len(cores), 1000):
-            texts = [core.decode("utf-8") for core in cores[at : at + 1000]]
-            found = self.library.encode(" ".join(texts), add_special_tokens=False)
-            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            some = cores[at : at + 1000]
+            line = b" ".join(some).decode("utf-8")
+            found = self.library.encode(line, add_special_tokens=False)
+            texts = some if line.isascii() else line.split(" ")
+            starts = np.cumsum([0, *map(len, texts)]) + np.arange(len(texts) + 1)
             firsts = [first for first, _ in found.offsets]
-            cuts = np.searchsorted(np.array(firsts, np.int64), starts)
+            cuts = (4 * np.searchsorted(np.array(firsts, np.int64), starts)).tolist()
             data = np.array(found.ids, "<u4").tobytes()
-            spans = zip(cuts[:-1].tolist(), cuts[1:].tolist())
-            self.cores.update((c, data[4 * i : 4 * j]) for c, (i, j) in zip(cores[at : at + 1000], spans))
+            self.cores.update(zip(some, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
 
     def learn(self, chunks: list[bytes]) -> None:
         """Have the ids of all these chunks at hand."""
         fresh = set(itertools.filterfalse(self.known.__contains__, chunks))
         if len(self.known) + len(fresh) > KNOWN:
             self.known, fresh = {}, set(chunks)
-        halves = {}
-        for chunk in fresh:
-            # The library lower-cases too. Punctuation after a letter or digit is a word of its own.
-            low = chunk.lower()
-            core = low.rstrip(_MARKS)
-            if core is low or not core[-1:].isalnum():
-                halves[chunk] = low, b""
-            else:
-                halves[chunk] = core, low[len(core) :]
-        cores = {half for pair in halves.values() for half in pair if half}
+        # The library lower-cases too. Punctuation after a letter or digit is a word of its own.
+        fresh = list(fresh)
+        lows = [chunk.lower() for chunk in fresh]
+        halves = [low.rstrip(_MARKS) for low in lows]
+        marks = [b""] * len(fresh)
+        for i, (low, core) in enumerate(zip(lows, halves)):
+            if core is not low:
+                if core[-1:].isalnum():
+                    marks[i] = low[len(core) :]
+                else:
+                    halves[i] = low
+        cores = {*halves, *marks} - {b""}
         if len(self.cores) + len(cores) > KNOWN:
             self.cores = {}
         self._learn_cores(sorted(cores.difference(self.cores)))
         self.cores[b""] = b""
-        self.known.update((c, self.cores[a] + self.cores[b]) for c, (a, b) in halves.items())
+        of = self.cores
+        self.known.update((c, of[a] + of[b] if b else of[a]) for c, a, b in zip(fresh, halves, marks))
 
     def _slices(self, data: bytes) -> Iterator[bytes]:
         at = 0
@@ -135,18 +139,45 @@ class Coder:
                 found = list(map(self.known.__getitem__, chunks))
             out += found
             stops = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4 + before
-            ends.append(stops[_ends_sentence(part)])
+            ends.append(stops[_ends_sentence(part)[1]])
             before = int(stops[-1]) if len(stops) else before
         return b"".join(out), np.concatenate([*ends, [before]])
 
-
-def _ends_sentence(part: bytes) -> np.ndarray:
-    """Of each chunk whether a sentence ends with it."""
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray]]:
+        """The same for each of several texts, which are split and looked up together."""
+        parts = [t.encode("utf-8", "replace") for t in texts]
+        data = b"\n".join(parts)
+        low = data.lower()
+        if any(s in low for s in self.special):
+            yield from map(self.encode, texts)
+            return
+        chunks = data.split()
+        # Most chunks repeat in a slice, whose own table is small and quick to look them up in.
+        own = list(set(chunks))
+        self.learn(own)
+        ids_of = dict(zip(own, map(self.known.__getitem__, own)))
+        found = list(map(ids_of.__getitem__, chunks))
+        stops = np.zeros(len(found) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=stops[1:])
+        last, ends = _ends_sentence(data)
+        # Chunks, ids and sentences before each text.
+        begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        first = np.searchsorted(last, begins)
+        ending = np.flatnonzero(ends)
+        sentences, turns = stops[ending + 1], np.searchsorted(ending, first).tolist()
+        bounds = stops[first].tolist()
+        ids = b"".join(found)
+        for a, b, i, j in zip(bounds, bounds[1:], turns, turns[1:]):
+            yield ids[4 * a : 4 * b], np.append(sentences[i:j], b) - a
+
+
+def _ends_sentence(part: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Of each chunk where its last byte is, and whether a sentence ends with it."""
     text = np.frombuffer(b"  " + part + b" ", np.uint8)
     blank = _BLANK[text]
     last = np.flatnonzero(blank[1:] & ~blank[:-1])
     final = text[last]
-    return _STOPS[final] | (_CLOSERS[final] & _STOPS[text[last - 1]])
+    return last - 2, _STOPS[final] | (_CLOSERS[final] & _STOPS[text[last - 1]])
 
 
 def _coder(vocabulary: str) -> Coder:
@@ -292,15 +323,16 @@ def _in_tasks(vocabulary: str, with_ids: bool, end_id: int, window: int):
         coder = _coder(vocabulary)
         packer = Packer(TaskContext.get().partitionId() << 40, with_ids, window)
         for rows in batches:
-            ends = rows["text"].str.len().cumsum() // SLICE
-            for at, (doc_id, text) in enumerate(zip(rows["doc_id"], rows["text"])):
-                if at == 0 or ends[at] > ends[at - 1]:
-                    # The chunks of the next texts, up to a slice's worth, are learned together.
-                    some = rows["text"][(ends == ends[at]) & (rows["text"].str.len() <= SLICE)]
-                    coder.learn(" ".join(some).encode("utf-8", "replace").split())
-                ids, sentences = coder.encode(text)
-                doc_id = None if doc_id is None else int(doc_id)
-                yield from map(frame, packer.add(doc_id, ids + end, sentences))
+            sizes = rows["text"].str.len()
+            # A slice's worth of texts are encoded together; a longer text is alone.
+            turn = (sizes.cumsum() // SLICE).where(sizes <= SLICE, -1 - np.arange(len(rows)))
+            for _, some in rows.groupby((turn != turn.shift()).cumsum()):
+                texts = some["text"].tolist()
+                whole = len(texts) == 1 and len(texts[0]) > SLICE
+                found = map(coder.encode, texts) if whole else coder.encode_all(texts)
+                for doc_id, (ids, sentences) in zip(some["doc_id"].tolist(), found):
+                    doc_id = None if doc_id is None else int(doc_id)
+                    yield from map(frame, packer.add(doc_id, ids + end, sentences))
         yield frame(packer.finish())
 
     return run

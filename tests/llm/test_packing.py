@@ -150,3 +150,19 @@ def test_speed(coder):
     at = list(range(0, 400_000, 4))
     packing.cuts(at, [0, *[2] * (len(at) - 1)])
     assert time.time() - began < 10
+
+
+def test_texts_of_a_slice_are_encoded_as_alone(library, coder, monkeypatch):
+    rng = random.Random(4)
+    words = ["Mañana.", "the", 'said."', "x?!", "...", "中文。", "\x85b", "\xa0", "e\u0301", "don't", "(a)", "\ud800", "\x00"]
+    texts = ["", " \n\t", "one", " . ", "tail\x0b", "\x0chead. "]
+    texts += [rng.choice(" \n\r").join(rng.choices(words, k=rng.randrange(40))) for _ in range(200)]
+    special = next(iter(library.get_added_tokens_decoder().values())).content
+    for known in (packing.KNOWN, 7):
+        monkeypatch.setattr(packing, "KNOWN", known)
+        for some in (texts, [*texts[:20], f"a {special} b."], [""], ["a", ""]):
+            for text, (ids, ends) in zip(some, coder.encode_all(some), strict=True):
+                alone, own = coder.encode(text)
+                assert ids == alone and ends.tolist() == own.tolist()
+                want = text.encode("utf-8", "replace").decode()
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode(want, add_special_tokens=False).ids
