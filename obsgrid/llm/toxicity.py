@@ -44,6 +44,8 @@ SUPPORT = 3
 LIFT = 8.0
 #: So many entries explain a toxic document in full.
 COVER = 6
+#: Candidates that a task counts before it passes the counts on.
+COUNTED = 50_000
 #: Lengths of word beginnings.
 PREFIXES = (3, 4, 5, 6)
 FOLDS = 5
@@ -157,15 +159,17 @@ def _sample(labels: DataFrame) -> DataFrame:
 
 
 def _count_patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per task: in how many toxic and clean documents each candidate occurs."""
+    """In how many toxic and clean documents each candidate occurs, in parts that add up."""
+    columns = ["pattern", "toxic", "clean"]
     counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for rows in batches:
         for text, toxic in zip(rows["text"], rows["toxic"]):
             for pattern in {p for w in set(fold(text).split()) for p in patterns(w)}:
                 counts[pattern][toxic] += 1
-    yield pd.DataFrame(
-        [(p, t, c) for p, (c, t) in counts.items()], columns=["pattern", "toxic", "clean"]
-    )
+            if len(counts) >= COUNTED:
+                yield pd.DataFrame([(p, t, c) for p, (c, t) in counts.items()], columns=columns)
+                counts.clear()
+    yield pd.DataFrame([(p, t, c) for p, (c, t) in counts.items()], columns=columns)
 
 
 def _weight(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:

@@ -3,7 +3,9 @@ from __future__ import annotations
 import math
 import random
 import zlib
+from collections import Counter
 
+import pandas as pd
 from llm_helpers import awkward, documents, nothing
 
 from obsgrid.llm import toxicity
@@ -107,3 +109,16 @@ def test_matches_a_plain_search_of_every_entry_and_exception():
             text = " ".join("".join(rng.choice("abAc4") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(0, 12)))
             got, want = model.features(text), plain_features(model, text)
             assert all(abs(a - b) < 1e-9 for a, b in zip(got, want)), (model, text)
+
+
+def test_counts_are_passed_on_in_parts(monkeypatch):
+    rows = pd.DataFrame({"text": [sentence(i) for i in range(40)], "toxic": [i % 2 for i in range(40)]})
+    whole = next(toxicity._count_patterns(iter([rows])))
+    monkeypatch.setattr(toxicity, "COUNTED", 50)
+    parts = list(toxicity._count_patterns(iter([rows])))
+    assert len(parts) > 4 and max(map(len, parts)) < 120
+    got = Counter()
+    for pattern, toxic, clean in pd.concat(parts).itertuples(index=False):
+        got.update({(pattern, 1): toxic, (pattern, 0): clean})
+    want = {(p, k): n for p, *counts in whole.itertuples(index=False) for k, n in zip((1, 0), counts)}
+    assert got == want
