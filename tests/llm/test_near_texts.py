@@ -70,6 +70,32 @@ def test_crowded_values_lose_few_links_and_make_few_pairs(spark, monkeypatch):
         assert sum(checked) < 120 * len(texts)
 
 
+def test_texts_nearly_similar_to_a_crowd_make_few_pairs(spark, monkeypatch):
+    """Most of a common passage and some words of one's own: near each other, but not at 0.8."""
+    checked, starred = [], []
+    verify, stars = near_texts.Search.verify, near_texts.components
+
+    def counting(self, pairs):
+        checked.append(pairs.count())
+        return verify(self, pairs)
+
+    def joining(links):
+        starred.append(links.count())
+        return stars(links)
+
+    monkeypatch.setattr(near_texts.Search, "verify", counting)
+    monkeypatch.setattr(near_texts, "components", joining)
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    apart = [edited(base, rng.randint(2, 3), rng) for _ in range(300)]
+    copies = [edited(base, 1, rng) for _ in range(200)]
+    texts = [" ".join(t) for t in apart + copies]
+    want, linked = brute(list(enumerate(texts)))
+    got = groups(near_texts.near_texts(documents(spark, texts), crowd=16))
+    assert all(want[i] == want[c] for i, c in got.items()) and met(got, linked) >= 0.95
+    assert sum(checked) < 30 * len(texts) and sum(starred) < 25 * len(texts)
+
+
 def test_pairs_apart_from_every_leader_are_found_in_crowds(spark, monkeypatch):
     """All texts have one print in common and twins no other segment, so only a crowd holds them."""
     rng = random.Random(8)
