@@ -12,14 +12,17 @@ reach, which a monotone queue holds, so a place costs a constant number of steps
 The programme runs over ``HORIZON`` ids at a time and settles all windows but the last few, whose
 ids stay for its next run. Nothing is shuffled; a partition's tail is the only loss to its bounds.
 
-Ids come from the tokenizer library. It drops white space and never merges across it, so each
-distinct chunk between white space is encoded once and looked up after that.
+Ids come from the tokenizer library. It drops white space and never merges across it, so Arrow splits
+and numbers the chunks between white space of several texts at a time, and the library encodes each
+distinct one, without its case and last punctuation, once; its ids are looked up after that. Words of
+plain letters go to the library's model without its normalizer and patterns, which leave them whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import re
 import sys
 import types
@@ -29,10 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from obsgrid.llm.common import table, text_or_empty
 from obsgrid.llm.registry import query
@@ -50,14 +55,36 @@ STRIDE = 32
 #: Ids that the dynamic programming looks at together, and those it leaves to its next run.
 HORIZON = 1 << 18
 MARGIN = 4 * WINDOW
-#: Chunks that a worker keeps, and bytes of a text that are split at a time.
+#: Words that a worker keeps, and bytes of text that are split at a time.
 KNOWN = 1_500_000
-SLICE = 1 << 20
+SLICE = 8 << 20
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_MARKS = b".,;:!?"
-#: Bytes that end a sentence, and those that may close it after them; by byte.
-_STOPS, _CLOSERS, _BLANK = (np.isin(np.arange(256), list(x)) for x in (b".!?", b"\"')]", b" \t\n\x0b\x0c\r"))
+#: All signs of ASCII but the apostrophe, after which the library may part a word.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters that the library's normalizer at most lower-cases.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: By byte: those that end a sentence, those that may close it after them, letters and digits, and the
+#: second bytes of the letters above.
+_STOPS, _CLOSERS, _ALNUM, _SECOND = (
+    np.isin(np.arange(256), list(x))
+    for x in (
+        b".!?",
+        b"\"')]",
+        b"abcdefghijklmnopqrstuvwxyz0123456789",
+        [*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)],
+    )
+)
+#: The patterns by which letters are words of their own.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SUFFIX = "</w>"
+
+
+def _letters_of_bytes() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte; blanks stay."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}, 32: " "}
 
 
 class Coder:
@@ -67,8 +94,29 @@ class Coder:
         self.library = Tokenizer.from_str(vocabulary)
         # Texts that hold one of these are left to the library whole.
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
         self.cores: dict[bytes, bytes] = {}
+        self.model = self._bare(vocabulary)
+
+    def _bare(self, vocabulary: str) -> Tokenizer | None:
+        """The tokenizer for words of plain letters; none if the vocabulary treats them otherwise."""
+        spec = json.loads(vocabulary)
+        split, byte_level = [*(spec["pre_tokenizer"] or {}).get("pretokenizers", []), {}, {}][:2]
+        if (
+            spec["model"].get("end_of_word_suffix") != _SUFFIX
+            or split.get("pattern") != {"Regex": _WORDS}
+            or byte_level.get("type") != "ByteLevel"
+            or byte_level.get("add_prefix_space")
+            or {"type": "Lowercase"} not in (spec["normalizer"] or {}).get("normalizers", [])
+        ):
+            return None
+        bare = Tokenizer.from_str(vocabulary)
+        bare.normalizer = normalizers.Sequence([])
+        bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        ids = bare.get_vocab()
+        self.letters = _letters_of_bytes()
+        self.final = np.zeros(max(ids.values()) + 1, bool)
+        self.final[[i for token, i in ids.items() if token.endswith(_SUFFIX)]] = True
+        return bare
 
     def _whole(self, chunk: bytes) -> np.ndarray:
         found = self.library.encode(chunk.decode("utf-8"), add_special_tokens=False)
@@ -88,29 +136,60 @@ class Coder:
             data = np.array(found.ids, "<u4").tobytes()
             self.cores.update(zip(some, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
 
-    def learn(self, chunks: list[bytes]) -> None:
-        """Have the ids of all these chunks at hand."""
-        fresh = set(itertools.filterfalse(self.known.__contains__, chunks))
-        if len(self.known) + len(fresh) > KNOWN:
-            self.known, fresh = {}, set(chunks)
-        # The library lower-cases too. Punctuation after a letter or digit is a word of its own.
-        fresh = list(fresh)
-        lows = [chunk.lower() for chunk in fresh]
-        halves = [low.rstrip(_MARKS) for low in lows]
-        marks = [b""] * len(fresh)
-        for i, (low, core) in enumerate(zip(lows, halves)):
-            if core is not low:
-                if core[-1:].isalnum():
-                    marks[i] = low[len(core) :]
-                else:
-                    halves[i] = low
-        cores = {*halves, *marks} - {b""}
-        if len(self.cores) + len(cores) > KNOWN:
-            self.cores = {}
-        self._learn_cores(sorted(cores.difference(self.cores)))
+    def _learn_words(self, words: list[bytes]) -> None:
+        """The same for words of plain letters, each of which has one id that ends a word."""
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            line = b" ".join(some).decode("utf-8").lower().encode("utf-8").decode("latin-1")
+            ids = np.array(self.model.encode(line.translate(self.letters), add_special_tokens=False).ids, "<u4")
+            cuts = [0, *(4 * np.flatnonzero(self.final[ids]) + 4).tolist()]
+            self.cores.update(zip(some, map(ids.tobytes().__getitem__, map(slice, cuts, cuts[1:])), strict=True))
+
+    def _ids_of(self, cores: pa.Array) -> pa.Array:
+        """The ids of each of the lower-cased chunks."""
+        found = cores.dictionary_encode()
+        own = found.dictionary.cast(pa.binary()).to_pylist()
+        fresh = list(itertools.filterfalse(self.cores.__contains__, own))
+        if len(self.cores) + len(fresh) > KNOWN:
+            self.cores, fresh = {}, own
+        # Alike words meet in the library's own cache.
+        fresh = sorted(filter(None, fresh))
+        plain = _LETTERS.fullmatch if self.model else lambda core: None
+        self._learn_words([core for core in fresh if plain(core)])
+        self._learn_cores([core for core in fresh if not plain(core)])
         self.cores[b""] = b""
-        of = self.cores
-        self.known.update((c, of[a] + of[b] if b else of[a]) for c, a, b in zip(fresh, halves, marks))
+        return pa.array(list(map(self.cores.__getitem__, own)), pa.binary()).take(found.indices)
+
+    def _ids_of_chunks(self, chunks: pa.Array) -> pa.Array:
+        """The ids of each of the chunks. The library lower-cases too; punctuation after a letter or
+        digit is a word of its own."""
+        low = pc.ascii_lower(chunks)
+        core = pc.ascii_rtrim(low, characters=_MARKS)
+        text, stops = _bytes_of(core)
+        final, before = text[stops - 1], text[stops - 2]
+        sizes = np.diff(stops, prepend=2)
+        apart = _ALNUM[final] | ((before == 0xC3) & _SECOND[final])
+        apart &= (sizes > 0) & (sizes < np.diff(_bytes_of(low)[1], prepend=2))
+        at = pa.array(np.flatnonzero(apart))
+        marks = [m[k:] for m, k in zip(low.take(at).cast(pa.binary()).to_pylist(), sizes[apart].tolist())]
+        ids = self._ids_of(pc.if_else(pa.array(apart), core, low))
+        if not marks:
+            return ids
+        both = pc.binary_join_element_wise(ids.take(at), self._ids_of(pa.array(marks, pa.string())), b"")
+        return pc.replace_with_mask(ids, pa.array(apart), both)
+
+    def _coded(self, texts: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some texts together: the ids, how many stand before the end of each text, and of each
+        sentence, and the number of sentences that end before the end of each text."""
+        lists = pc.ascii_split_whitespace(texts)
+        chunks = lists.flatten().dictionary_encode()
+        turns = lists.offsets.to_numpy()
+        distinct = chunks.dictionary
+        found = self._ids_of_chunks(distinct).take(chunks.indices)
+        ids, stops = _bytes_of(found)
+        ids, stops = ids[2:].tobytes(), np.append(0, (stops - 2) // 4)
+        ending = np.flatnonzero(_ends_sentence(distinct)[chunks.indices.to_numpy()]) + 1
+        return ids, stops[turns[1:]], stops[ending], np.searchsorted(ending, turns[1:], "right")
 
     def _slices(self, data: bytes) -> Iterator[bytes]:
         at = 0
@@ -131,53 +210,48 @@ class Coder:
             return ids.tobytes(), np.array([len(ids)])
         out, ends, before = [], [], 0
         for part in self._slices(data):
-            chunks = part.split()
-            try:
-                found = list(map(self.known.__getitem__, chunks))
-            except KeyError:
-                self.learn(chunks)
-                found = list(map(self.known.__getitem__, chunks))
-            out += found
-            stops = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) // 4 + before
-            ends.append(stops[_ends_sentence(part)[1]])
-            before = int(stops[-1]) if len(stops) else before
+            found, bounds, sentences, _ = self._coded(pa.array([part], pa.string()))
+            out.append(found)
+            ends.append(sentences + before)
+            before += int(bounds[-1])
         return b"".join(out), np.concatenate([*ends, [before]])
 
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray]]:
-        """The same for each of several texts, which are split and looked up together."""
+    def encode_together(self, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some texts together: the ids, how many stand before the end of each text, and of each
+        sentence, and the number of sentences that end before the end of each text."""
         parts = [t.encode("utf-8", "replace") for t in texts]
-        data = b"\n".join(parts)
-        low = data.lower()
-        if any(s in low for s in self.special):
-            yield from map(self.encode, texts)
-            return
-        chunks = data.split()
-        # Most chunks repeat in a slice, whose own table is small and quick to look them up in.
-        own = list(set(chunks))
-        self.learn(own)
-        ids_of = dict(zip(own, map(self.known.__getitem__, own)))
-        found = list(map(ids_of.__getitem__, chunks))
-        stops = np.zeros(len(found) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=stops[1:])
-        last, ends = _ends_sentence(data)
-        # Chunks, ids and sentences before each text.
-        begins = np.cumsum([0, *(len(p) + 1 for p in parts)])
-        first = np.searchsorted(last, begins)
-        ending = np.flatnonzero(ends)
-        sentences, turns = stops[ending + 1], np.searchsorted(ending, first).tolist()
-        bounds = stops[first].tolist()
-        ids = b"".join(found)
+        low = b"\n".join(parts).lower()
+        if not any(s in low for s in self.special):
+            return self._coded(pa.array(parts, pa.string()))
+        alone = [self.encode(t) for t in texts]
+        bounds = np.cumsum([len(ids) // 4 for ids, _ in alone])
+        before = [0, *bounds.tolist()]
+        sentences = np.concatenate([ends[:-1] + b for (_, ends), b in zip(alone, before)])
+        turns = np.cumsum([len(ends) - 1 for _, ends in alone])
+        return b"".join(ids for ids, _ in alone), bounds, sentences, turns
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray]]:
+        """What ``encode`` gives for each of several texts, which are encoded together."""
+        ids, bounds, sentences, turns = self.encode_together(texts)
+        bounds, turns = [0, *bounds.tolist()], [0, *turns.tolist()]
         for a, b, i, j in zip(bounds, bounds[1:], turns, turns[1:]):
             yield ids[4 * a : 4 * b], np.append(sentences[i:j], b) - a
 
 
-def _ends_sentence(part: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Of each chunk where its last byte is, and whether a sentence ends with it."""
-    text = np.frombuffer(b"  " + part + b" ", np.uint8)
-    blank = _BLANK[text]
-    last = np.flatnonzero(blank[1:] & ~blank[:-1])
-    final = text[last]
-    return last - 2, _STOPS[final] | (_CLOSERS[final] & _STOPS[text[last - 1]])
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts after two blanks, and where each text ends in them."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8)
+    return np.concatenate([np.full(2, 32, np.uint8), text]), offsets[1:] - offsets[0] + 2
+
+
+def _ends_sentence(chunks: pa.Array) -> np.ndarray:
+    """Whether a sentence ends with the chunk."""
+    text, stops = _bytes_of(chunks)
+    sizes = np.diff(stops, prepend=2)
+    final = text[stops - 1]
+    return (sizes > 0) & (_STOPS[final] | ((sizes > 1) & _CLOSERS[final] & _STOPS[text[stops - 2]]))
 
 
 def _coder(vocabulary: str) -> Coder:
@@ -191,17 +265,27 @@ def _coder(vocabulary: str) -> Coder:
 
 def places(size: int, sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a document of so many ids may be cut, its end included, and the penalties."""
-    ends = np.append(sentences[(sentences > 0) & (sentences < size)], size)
+    return all_places(np.array([size]), sentences[(sentences > 0) & (sentences < size)])
+
+
+def all_places(lasts: np.ndarray, sentences: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for documents that follow each other, by where they and their sentences end."""
+    ends = np.concatenate([lasts, sentences])
+    # A document's end comes before a sentence that ends there.
+    order = np.argsort(ends, kind="stable")
+    ends, final = ends[order], order < len(lasts)
     gaps = np.diff(ends, prepend=0)
-    ends, gaps = ends[gaps > 0], gaps[gaps > 0]
+    kept = gaps > 0
+    ends, gaps, final = ends[kept], gaps[kept], final[kept]
     more = (gaps - 1) // STRIDE
+    penalty = np.where(final, 0, SENTENCE)
     if not more.any():
-        return ends, np.where(ends == size, 0, SENTENCE)
+        return ends, penalty
     # Each end after the places inside its sentence.
     turn = np.arange(len(ends) + more.sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
     inside = turn < np.repeat(more, more + 1)
     at = np.where(inside, np.repeat(ends - gaps, more + 1) + (turn + 1) * STRIDE, np.repeat(ends, more + 1))
-    return at, np.where(inside, BREAK, np.where(at == size, 0, SENTENCE))
+    return at, np.where(inside, BREAK, np.repeat(penalty, more + 1))
 
 
 def _unpadded(at: np.ndarray, window: int) -> tuple[list[int], list[int]]:
@@ -263,12 +347,16 @@ class Packer:
         self.settled = self.end = 0
 
     def add(self, doc_id, ids: bytes, sentences: np.ndarray) -> Iterator[list[tuple]]:
-        size = len(ids) // 4
-        at, penalty = places(size, sentences)
-        self.docs.append((doc_id, ids, size, self.end))
+        return self.add_all([doc_id], [ids], *places(len(ids) // 4, sentences))
+
+    def add_all(self, doc_ids: list, ids: list[bytes], at: np.ndarray, penalty: np.ndarray) -> Iterator[list[tuple]]:
+        """Documents that follow each other, and the places where they may be cut."""
         self.at.append(at + self.end)
         self.penalty.append(penalty)
-        self.end += size
+        for doc_id, own in zip(doc_ids, ids):
+            size = len(own) // 4
+            self.docs.append((doc_id, own, size, self.end))
+            self.end += size
         if self.end - self.settled >= HORIZON:
             at, penalty = np.concatenate(self.at), np.concatenate(self.penalty)
             while self.end - self.settled >= HORIZON:
@@ -328,11 +416,18 @@ def _in_tasks(vocabulary: str, with_ids: bool, end_id: int, window: int):
             turn = (sizes.cumsum() // SLICE).where(sizes <= SLICE, -1 - np.arange(len(rows)))
             for _, some in rows.groupby((turn != turn.shift()).cumsum()):
                 texts = some["text"].tolist()
-                whole = len(texts) == 1 and len(texts[0]) > SLICE
-                found = map(coder.encode, texts) if whole else coder.encode_all(texts)
-                for doc_id, (ids, sentences) in zip(some["doc_id"].tolist(), found):
-                    doc_id = None if doc_id is None else int(doc_id)
-                    yield from map(frame, packer.add(doc_id, ids + end, sentences))
+                doc_ids = [None if i is None else int(i) for i in some["doc_id"].tolist()]
+                if len(texts) == 1 and len(texts[0]) > SLICE:
+                    ids, sentences = coder.encode(texts[0])
+                    yield from map(frame, packer.add(doc_ids[0], ids + end, sentences))
+                    continue
+                ids, bounds, sentences, turns = coder.encode_together(texts)
+                own = [ids[4 * a : 4 * b] + end for a, b in zip([0, *bounds.tolist()], bounds.tolist())]
+                # Each after the end ids of the documents before; a text's end is one of a sentence.
+                before = np.arange(len(texts))
+                sentences = sentences + np.repeat(before, np.diff(turns, prepend=0))
+                found = all_places(bounds + before + 1, np.concatenate([sentences, bounds + before]))
+                yield from map(frame, packer.add_all(doc_ids, own, *found))
         yield frame(packer.finish())
 
     return run
