@@ -188,7 +188,8 @@ def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).json(path)
 
 
-# Readings as whole numbers of grid steps, as text that every engine writes alike.
+# Readings as whole numbers of grid steps, as text that every engine writes alike: as they are, and
+# some of them missing, so that the marks of NULLs are digested too.
 DIGEST_COLUMNS = sorted(["location_id", "date", *MEASURE_NAMES])
 
 
@@ -200,13 +201,32 @@ def _steps(daily: DataFrame) -> DataFrame:
     )
 
 
+def _missing(steps: DataFrame) -> DataFrame:
+    """Each measure missing at the places whose id its number divides."""
+    return steps.withColumns(
+        {m: F.when(F.col("location_id") % (i + 5) != 0, F.col(m)) for i, m in enumerate(MEASURE_NAMES)}
+    )
+
+
+def _digest_sql(table: str) -> str:
+    cells = " || '|' || ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '~')" for c in DIGEST_COLUMNS)
+    return f"""SELECT '{table}' AS dataset, COUNT(*) AS rows, CAST(SUM(h) AS VARCHAR) AS hash_sum, BIT_XOR(h) AS hash_xor
+FROM (SELECT CAST('0x' || SUBSTR(md5({cells}), 1, 15) AS BIGINT) AS h FROM {table})"""
+
+
 @query(f"""WITH {DAILY_SQL}, steps AS (SELECT location_id, CAST(date AS VARCHAR) AS date,
   {', '.join(f'CAST({m} * 65536 AS BIGINT) AS {m}' for m in MEASURE_NAMES)}
   FROM readings),
-hashes AS (SELECT CAST('0x' || SUBSTR(md5({" || '|' || ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '~')" for c in DIGEST_COLUMNS)}), 1, 15)
-  AS BIGINT) AS h FROM steps)
-SELECT COUNT(*) AS rows, CAST(SUM(h) AS VARCHAR) AS hash_sum, BIT_XOR(h) AS hash_xor FROM hashes""")
+missing AS (SELECT location_id, date,
+  {', '.join(f'CASE WHEN location_id % {i + 5} <> 0 THEN {m} END AS {m}' for i, m in enumerate(MEASURE_NAMES))}
+  FROM steps)
+{_digest_sql('steps')}
+UNION ALL {_digest_sql('missing')}""")
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest of the readings, by a hash that SQL can repeat."""
-    found = rules.fingerprint(_steps(readings(spark, sf_dir)), row_hash=rules.text_hash)
-    return found.withColumn("hash_sum", F.col("hash_sum").cast("string"))
+    """Digests of the readings, as they are and with missing values, by a hash that SQL can repeat."""
+    steps = _steps(readings(spark, sf_dir))
+    found = [
+        rules.fingerprint(table, row_hash=rules.text_hash).select(F.lit(name).alias("dataset"), "*")
+        for name, table in (("steps", steps), ("missing", _missing(steps)))
+    ]
+    return found[0].union(found[1]).withColumn("hash_sum", F.col("hash_sum").cast("string"))

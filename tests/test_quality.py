@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import functools
+import hashlib
+import operator
 from datetime import date, timedelta
 
 import pytest
@@ -8,7 +11,10 @@ from pyspark.sql import functions as F
 from helpers import START, as_set, daily, grid, row
 from obsgrid.operators import quality
 from obsgrid.operators.serving import join_one_to_one
+from obsgrid.plans import quality as plans
+from obsgrid.schema import MEASURE_NAMES
 from obsgrid.sources.tables import require_columns
+from obsgrid.sources.views import readings
 
 
 def failed(report) -> set:
@@ -65,6 +71,27 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
     assert not quality.same_content(table, daily(spark, rows + rows[:2]))
 
 
+def test_fingerprint_query_digests_all_readings_and_those_with_missing_values(spark, tmp_path):
+    lines = [(i, START + timedelta(days=d), 100.0 * i + d, 2.0, 0.05, 0.01) for i in range(1, 14) for d in range(3)]
+    names = "l_suppkey long, l_shipdate date, l_extendedprice double, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def digest(rows):
+        hashes = []
+        for row in rows:
+            cells = "|".join("~" if row[c] is None else f"={row[c]}" for c in plans.DIGEST_COLUMNS)
+            hashes.append(int(hashlib.md5(cells.encode()).hexdigest()[:15], 16))
+        return len(hashes), str(sum(hashes)), functools.reduce(operator.xor, hashes)
+
+    steps = [r.asDict() for r in plans._steps(readings(spark, str(tmp_path))).collect()]
+    missing = [
+        r | {m: None for i, m in enumerate(MEASURE_NAMES) if r["location_id"] % (i + 5) == 0} for r in steps
+    ]
+    found = plans.fingerprint(spark, str(tmp_path)).collect()
+    got = {r["dataset"]: (r["rows"], r["hash_sum"], r["hash_xor"]) for r in found}
+    assert len(found) == 2 and got == {"steps": digest(steps), "missing": digest(missing)}
+
+
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="nothing"):
         require_columns(daily(spark, grid()), ["date", "nothing"])
