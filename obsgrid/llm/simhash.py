@@ -7,6 +7,8 @@ ball of radius one around each segment in the table of segments, and candidates
 on all 64 bits. Only the flips from 0 to 1 are looked up, because of two segments that differ
 in one bit just one has a 0 there.
 
+Spark sizes an unfolded table by the rows before, so joins of balls ask for a merge: none is broadcast.
+
 Documents of equal fingerprint are folded to one row first, so copies cost no pairs. A segment
 value that many distinct fingerprints share is not joined with itself: inside such a bucket
 the rest of the fingerprint is indexed once more by Hamming balls, and whoever meets in a ball
@@ -141,6 +143,7 @@ def _crowded(members: DataFrame, lookups: DataFrame) -> DataFrame:
             F.min(F.when(~F.col("moved"), F.col("node"))).alias("own_min"),
             F.min(F.when(F.col("moved"), F.col("node"))).alias("moved_min"),
         )
+        .hint("merge")
         .join(
             large.groupBy(*at).agg(
                 F.min("node").alias("any_min"),
@@ -149,11 +152,11 @@ def _crowded(members: DataFrame, lookups: DataFrame) -> DataFrame:
             at,
         )
     )
-    lookups_tied = small.join(balls, at).select(
+    lookups_tied = small.hint("merge").join(balls, at).select(
         F.col("node").alias("a"),
         F.when(F.col("moved"), F.col("close_min")).otherwise(F.col("any_min")).alias("b"),
     )
-    members_tied = large.join(balls, at).select(
+    members_tied = large.hint("merge").join(balls, at).select(
         F.col("node").alias("a"),
         F.explode(
             F.array(F.col("own_min"), F.when(F.col("close"), F.col("moved_min")))
@@ -175,7 +178,7 @@ def links(distinct_prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     found = (
         segments.join(crowds, "key", "left_anti")
         .withColumnsRenamed({"node": "b", "fp": "_fp"})
-        .join(probes.withColumnRenamed("node", "a"), "key")
+        .join(probes.withColumnRenamed("node", "a").hint("merge"), "key")
         .where("a != b")
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("_fp"))) <= DISTANCE)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -74,6 +74,28 @@ def test_crowded_segments_give_the_same_components(spark, crowd):
     assert reachable(nodes, found) == reachable(nodes, linked)
 
 
+def exchanges(df):
+    """Rows of every broadcast of the plan that ran."""
+    df.collect()
+    seen, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "BroadcastExchange":
+            seen.append(plan.metrics().apply("numOutputRows").value())
+        inner = {"AdaptiveSparkPlan": "executedPlan"}.get(plan.nodeName())
+        inner = inner or ("plan" if plan.nodeName().endswith("QueryStage") else None)
+        children = plan.children()
+        plans += [getattr(plan, inner)()] if inner else [children.apply(i) for i in range(children.size())]
+    return seen
+
+
+@pytest.mark.parametrize("crowd", [2, 1000])
+def test_no_ball_is_broadcast(spark, crowd):
+    """Balls have 33 rows and more for each segment, which Spark's sizes don't count."""
+    df = spark.createDataFrame(prints_around(400, 3), "node long, fp long")
+    assert all(rows <= 2 * 400 for rows in exchanges(simhash.links(df, crowd)))
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
