@@ -7,6 +7,8 @@ import corpus_pipeline
 from llm_helpers import awkward, documents, nothing
 from test_jaccard import brute, brute_set, edited, planted
 
+from pyspark.sql import functions as F
+
 from obsgrid.llm import jaccard, near_texts
 
 
@@ -166,3 +168,67 @@ def test_awkward_rows(spark, tmp_path):
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(rows[2:], key=repr)
 
 
+
+
+def at_the_threshold(count, seed=12):
+    """Pairs of texts whose sets are at 0.8 or a little above."""
+    rng, texts = random.Random(seed), []
+    for k in range(count):
+        one = [f"w{k}-{i}" for i in range(rng.randint(60, 200))]
+        other, best = list(one), list(one)
+        for at in rng.sample(range(len(one)), len(one)):
+            other[at] = f"o{k}-{at}"
+            a, b = brute_set(" ".join(one)), brute_set(" ".join(other))
+            if 5 * len(a & b) < 4 * len(a | b):
+                other = list(best)
+            best = list(other)
+        texts += [" ".join(one), " ".join(best)]
+    return texts
+
+
+def test_pairs_at_the_threshold_are_all_found(spark):
+    """A segment of every twelfth such pair or so doesn't meet; their shingles do."""
+    texts = at_the_threshold(120)
+    want, linked = brute(list(enumerate(texts)))
+    assert len(linked) == 120
+    assert groups(near_texts.near_texts(documents(spark, texts))) == want
+
+
+def test_frequent_shingles_come_last(spark, monkeypatch):
+    """A passage in all texts decides for no pair, and the components are those of all pairs."""
+    monkeypatch.setattr(near_texts, "SAMPLE", 1)
+    kept = []
+    first = near_texts._frequent
+    monkeypatch.setattr(near_texts, "_frequent", lambda texts: kept.append(first(texts)) or kept[-1])
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [f"{passage} {t}" for t in at_the_threshold(20, 3)]
+    want, _ = brute(list(enumerate(texts)))
+    assert groups(near_texts.near_texts(documents(spark, texts))) == want
+    common = near_texts.Shingles().of(passage)
+    assert set(common) <= set(kept[0][0]) and set(kept[0][1]) == {40}
+    one = near_texts.Shingles().of(texts[0])
+    assert not set(near_texts.first_fifth(one, *kept[0])) & set(common)
+
+
+def test_many_nodes_get_no_wider_balls():
+    for nodes in (2**19 + 1, 2**22, 2**24, 2**27):
+        assert near_texts.width_for(nodes)[1] == 1
+
+
+def test_large_sets_are_told_apart_by_wide_parities(spark, monkeypatch):
+    """Equal at the segments, but with half of their shingles apart: no set is compared."""
+    compared = []
+    monkeypatch.setattr(near_texts, "LARGE", 200)
+    monkeypatch.setattr(near_texts, "prints_of", lambda hashes, n: [0] * n)
+    monkeypatch.setattr(near_texts, "_like_parities", lambda a, b, longs=0: F.lit(True))
+    store = near_texts.written
+    monkeypatch.setattr(
+        near_texts, "written", lambda df, label: compared.append(df.count()) or store(df, label) if label == "near-pairs" else store(df, label)
+    )
+    shared = [f"s{i}" for i in range(200)]
+    texts = [" ".join(shared + [f"o{k}-{i}" for i in range(200)]) for k in range(12)]
+    texts.append(texts[0] + " end")
+    want, linked = brute(list(enumerate(texts)))
+    assert {tuple(sorted(x)) for x in linked} == {(0, 12)}
+    assert groups(near_texts.near_texts(documents(spark, texts))) == want
+    assert sum(compared) == 1
