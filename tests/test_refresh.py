@@ -312,3 +312,33 @@ def test_compaction_bounds_the_rows_of_a_file(spark):
     assert same_content(got, rows)
     held = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
     assert len(held) > 2 and max(held) <= 100
+
+
+def test_a_stream_numbers_its_catalogue_once_and_lists_in_few_tasks(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for batch in (1, 2, 3):
+        (raw / f"batch_{batch:04d}__2025-12-28__2025-12-29.json").write_text("{broken")
+    looked, seen = spark.sparkContext.accumulator(0), []
+
+    @F.udf("long")
+    def counted(i):
+        looked.add(1)
+        return i
+
+    numbered = workplan.number_places(places(spark, 3), 1).withColumn(
+        "population", counted.asNondeterministic()(F.col("location_id")).cast("double")
+    )
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, run = spark.conf.get(name), ingest.run_available
+
+    def running(*args):
+        seen.append(int(spark.conf.get(name)))
+        return run(*args)
+
+    monkeypatch.setattr(ingest, "run_available", running)
+    paths = [str(tmp_path / n) for n in ("table", "quarantine", "checkpoint")]
+    ingest.ingest(spark, str(raw), *paths, numbered, 1, max_files=1)
+    assert looked.value == 3 and spark.conf.get(name) == before
+    assert seen == [min(int(before), ingest.LISTING_TASKS * spark.sparkContext.defaultParallelism)]
+    assert spark.read.parquet(paths[1]).count() == 3
